@@ -58,7 +58,7 @@ def gini(tokens: Column) -> Column:
             (weighted * 2).cast("double") / (F.size(f).cast("bigint") * mass).cast("double") - (n + 1) / n,
         ).otherwise(F.lit(0.0))
 
-    return bind(frequencies(tokens), coefficient)
+    return F.coalesce(bind(frequencies(tokens), coefficient), F.lit(0.0))
 
 
 def features(text: Column) -> dict[str, Column]:

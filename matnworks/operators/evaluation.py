@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matnworks.sources.files import materialize
+
 COUNTS = ("TP", "TN", "FP", "FN")
 
 
@@ -88,16 +90,14 @@ def roc_auc(df: DataFrame, score: str, buckets: int = 256) -> DataFrame:
 
     A rank over all scores would sort the whole frame in one task. Equal scores are merged first, so
     a score that many rows share is one row; quantiles of the distinct scores cut them into buckets
-    that are ranked in parallel; what remains is one row per bucket.
+    that are ranked in parallel; what remains is one row per bucket. The merged scores are written
+    once, because quantiles and ranks both read them and a score may be costly to compute.
     """
-    tied = (
-        df.filter(F.col("label").isNotNull() & F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
-        .agg(
-            F.count_if(F.col("label") == 1).cast("double").alias("pos"),
-            F.count_if(F.col("label") == 0).cast("double").alias("neg"),
-        )
+    counted = df.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col("label") == 1).cast("double").alias("pos"),
+        F.count_if(F.col("label") == 0).cast("double").alias("neg"),
     )
+    tied = materialize(counted, "scores").filter(F.col("score").isNotNull())
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = tied.agg(F.percentile_approx("score", cuts, 10 * buckets)).scalar()
     bucket = F.size(F.filter("bounds", lambda b: b < F.col("score")))

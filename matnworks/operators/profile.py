@@ -10,9 +10,8 @@ def label_distribution(df: DataFrame) -> DataFrame:
     return df.groupBy("label").agg(F.count("*").alias("n")).orderBy("label")
 
 
-def length_summary(df: DataFrame) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum and maximum of the text length."""
-    size = F.length("text")
+def length_summary(df: DataFrame, size: Column) -> DataFrame:
+    """Count, mean, sample standard deviation, minimum and maximum of a length."""
     return df.agg(
         F.count(size).alias("n"),
         F.avg(size).alias("mean"),
@@ -22,9 +21,8 @@ def length_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def length_by_label(df: DataFrame) -> DataFrame:
-    """Count, mean and sample standard deviation of the text length for each label."""
-    size = F.length("text")
+def length_by_label(df: DataFrame, size: Column) -> DataFrame:
+    """Count, mean and sample standard deviation of a length for each label."""
     return (
         df.groupBy("label")
         .agg(F.count("*").alias("n"), F.avg(size).alias("avg_len"), F.stddev_samp(size).alias("std_len"))

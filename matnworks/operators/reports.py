@@ -55,9 +55,13 @@ def feature_summary(df: DataFrame) -> DataFrame:
 
 
 def linear_margin(coefficients: Mapping[str, float] = COEFFICIENTS) -> Column:
-    """Sum of coefficient times feature, in feature order, rounded so that zero is well defined."""
+    """Sum of coefficient times feature, in feature order, rounded so that zero is well defined.
+
+    It is declared free of nulls: a null check on it would be pushed below the features and compute
+    them a second time.
+    """
     terms = [F.col(name) * F.lit(float(coefficients[name])) for name in FEATURES]
-    return F.round(sum(terms[1:], terms[0]), 6)
+    return F.coalesce(F.round(sum(terms[1:], terms[0]), 6), F.lit(0.0))
 
 
 def score_linear(df: DataFrame, coefficients: Mapping[str, float] = COEFFICIENTS) -> DataFrame:

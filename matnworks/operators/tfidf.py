@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from matnworks.fixed_values import MIN_DOC_FREQ
 from matnworks.functions.tokens import run_counts
+from matnworks.sources.files import materialize
 
 # A term in more than this share of all (document, term) rows is frequent. There can be at most
 # 1 / HOT_SHARE such terms, whatever the size of the corpus.
@@ -23,11 +24,12 @@ def tfidf(df: DataFrame, tokens: Column, min_doc_freq: int = MIN_DOC_FREQ) -> Da
 
     Document frequencies are looked up in two ways. Frequent terms, at most 1 / HOT_SHARE of them, are
     broadcast, so the many rows that carry them are not shuffled; the others meet their frequency in
-    a shuffle join in which no key is large.
+    a shuffle join in which no key is large. Term frequencies are as many rows as the result, and are
+    written once rather than cleaned and counted again for each use.
     """
-    tf = term_frequencies(df, tokens)
-    doc_freq = tf.groupBy("term").agg(F.count("*").alias("df"))
-    limit = tf.agg(F.count("*") * F.lit(HOT_SHARE)).scalar()
+    tf = materialize(term_frequencies(df, tokens), "tf")
+    doc_freq = materialize(tf.groupBy("term").agg(F.count("*").alias("df")), "df")
+    limit = doc_freq.agg(F.sum("df") * F.lit(HOT_SHARE)).scalar()
     hot = F.broadcast(doc_freq.filter(F.col("df") > limit))
     cold = doc_freq.filter(F.col("df") <= limit)
     looked_up = tf.join(hot, "term").unionByName(

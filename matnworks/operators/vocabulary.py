@@ -34,8 +34,12 @@ def top(counts: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def sample(df: DataFrame, rows: int) -> DataFrame:
-    """The first rows by ``doc_id``: the same sample on every run, unlike an unordered limit."""
-    return df.orderBy("doc_id").limit(rows)
+    """The first rows by ``doc_id``: the same sample on every run, unlike an unordered limit.
+
+    A limit leaves its rows in one task; they are spread again for the text functions.
+    """
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, 64)
+    return df.orderBy("doc_id").limit(rows).repartition(tasks, "doc_id")
 
 
 def corpus_totals(counts: DataFrame) -> DataFrame:

@@ -17,24 +17,24 @@ from matnworks.plans.shared_sql import (
     SPACE,
 )
 from matnworks.registry import query
-from matnworks.sources.tables import ar_documents, class_labels, labelled, table
+from matnworks.sources.tables import ar_documents, class_labels, labelled
 
 NAMES = list(FEATURES)
 ROUNDED = ", ".join(f"round({name}, 6) AS {name}" for name in NAMES)
 
 
-def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_table(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """``doc_id`` and features. The text ends here, so later joins move only numbers."""
-    return cleaning.with_features(ar_documents(spark, sf_dir)).drop("text")
+    return cleaning.with_features(ar_documents(spark, sf_dir, *more)).drop("text")
 
 
 def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(feature_table(spark, sf_dir), class_labels(spark, sf_dir))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """``doc_id, label, margin, prediction`` of the fixed linear scorer."""
-    margins = reports.score_linear(feature_table(spark, sf_dir)).drop(*NAMES)
+    margins = reports.score_linear(feature_table(spark, sf_dir, *more)).drop(*NAMES)
     return labelled(margins, class_labels(spark, sf_dir))
 
 
@@ -223,11 +223,11 @@ def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best of three rules by weighted F1: the linear scorer, a length rule, the majority class."""
-    lengths = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.col("n_chars") >= 1000).cast("int").alias("text length")
-    )
-    rules = scored(spark, sf_dir).join(lengths, "doc_id").select(
-        "label", F.col("prediction").alias("linear margin"), "text length", F.lit(1).alias("always ai")
+    rules = scored(spark, sf_dir, "n_chars").select(
+        "label",
+        F.col("prediction").alias("linear margin"),
+        (F.col("n_chars") >= 1000).cast("int").alias("text length"),
+        F.lit(1).alias("always ai"),
     )
     names = ["linear margin", "text length", "always ai"]
     long = rules.unpivot("label", names, "model", "prediction")

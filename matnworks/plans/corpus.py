@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matnworks.fixed_values import PREVIEW_CHARS, PREVIEW_ROWS
@@ -31,10 +31,13 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_corpus(labelled(documents(spark, sf_dir), class_labels(spark, sf_dir)))
 
 
-def corpus_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, label`` of the corpus with no text in the join; emptiness is tested at the scan."""
-    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND text <> ''").select("doc_id")
-    return labelled(docs, class_labels(spark, sf_dir)).dropna(subset=["label"])
+def corpus_keys(spark: SparkSession, sf_dir: str, *columns: Column) -> DataFrame:
+    """``doc_id, label`` of the corpus and columns computed from its text.
+
+    Text is filtered and measured at the scan, so the join moves only keys and numbers.
+    """
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL AND text <> ''")
+    return labelled(docs.select("doc_id", *columns), class_labels(spark, sf_dir)).dropna(subset=["label"])
 
 
 @query("clean_corpus", f"WITH {CORPUS} SELECT doc_id, text, label FROM corpus")
@@ -47,7 +50,7 @@ def clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {CORPUS} SELECT label, count(*) AS n FROM corpus GROUP BY label ORDER BY label",
 )
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.label_distribution(corpus_lengths(spark, sf_dir))
+    return profile.label_distribution(corpus_keys(spark, sf_dir))
 
 
 @query(
@@ -57,7 +60,7 @@ def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM documents""",
 )
 def length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = profile.length_summary(table(spark, sf_dir, "documents").select("text"))
+    out = profile.length_summary(table(spark, sf_dir, "documents"), F.length("text"))
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
@@ -68,7 +71,9 @@ def length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM corpus GROUP BY label ORDER BY label""",
 )
 def length_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = profile.length_by_label(corpus(spark, sf_dir))
+    out = profile.length_by_label(
+        corpus_keys(spark, sf_dir, F.length("text").alias("chars")), F.col("chars")
+    )
     return out.withColumns({c: F.round(c, 6) for c in ("avg_len", "std_len")})
 
 
@@ -96,7 +101,7 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM counts""",
 )
 def class_imbalance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = profile.class_imbalance(corpus_lengths(spark, sf_dir))
+    out = profile.class_imbalance(corpus_keys(spark, sf_dir))
     return out.withColumns({c: F.round(c, 6) for c in ("pct_human", "pct_ai", "ratio")})
 
 
@@ -109,7 +114,7 @@ def class_imbalance(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (VALUES (0), (1)) AS classes(label) LEFT JOIN counts USING (label)""",
 )
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = split.take(corpus_lengths(spark, sf_dir), "train")
+    train = split.take(corpus_keys(spark, sf_dir), "train")
     return profile.class_weights(train).withColumn("weight", F.round("weight", 6))
 
 

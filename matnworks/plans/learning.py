@@ -15,8 +15,13 @@ from matnworks.sources.tables import ar_documents, class_labels, labelled
 
 
 def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, clean_text`` and features of all documents."""
-    return cleaning.with_features(cleaning.with_clean_text(ar_documents(spark, sf_dir))).drop("text")
+    """``doc_id, clean_text`` and features of all documents, written once.
+
+    The assembler drops rows with missing features. On a computed frame that filter would be pushed
+    below the text functions and evaluate them twice.
+    """
+    docs = cleaning.with_features(cleaning.with_clean_text(ar_documents(spark, sf_dir)))
+    return files.materialize(docs.drop("text"), "prepared")
 
 
 def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

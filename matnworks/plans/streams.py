@@ -124,7 +124,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def score(batch: DataFrame) -> DataFrame:
         prepared = cleaning.with_features(cleaning.with_clean_text(batch)).drop("text")
-        predicted = model.transform(prepared).select("doc_id", F.col("prediction").cast("int"))
+        predicted = model.transform(files.materialize(prepared, "prepared")).select("doc_id", F.col("prediction").cast("int"))
         return labelled(predicted, labels)
 
     scoring.score_stream(document_stream(spark, sf_dir), score, folder)

@@ -11,7 +11,14 @@ from matnworks.functions.tokens import raw_tokens
 from matnworks.operators import tfidf, vocabulary
 from matnworks.plans.shared_sql import CLEAN, CLEAN_BIGRAMS, CLEAN_WORDS, CONTENT, NORMALIZED, SPACE
 from matnworks.registry import query
-from matnworks.sources.tables import ar_documents, class_labels, documents, labelled
+from matnworks.sources.tables import (
+    ar_documents,
+    arabic_script,
+    class_labels,
+    documents,
+    labelled,
+    table,
+)
 
 @query("normalize_text", f"WITH {NORMALIZED} SELECT doc_id, normalized_text FROM normalized")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +87,8 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def wordcloud_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 100 most frequent words of the report's sample of 2000 documents."""
-    docs = vocabulary.sample(ar_documents(spark, sf_dir), WORDCLOUD_SAMPLE_ROWS)
+    docs = vocabulary.sample(table(spark, sf_dir, "documents").select("doc_id", "text"), WORDCLOUD_SAMPLE_ROWS)
+    docs = docs.withColumn("text", arabic_script(F.col("text")))
     return vocabulary.top(vocabulary.word_count(docs), "word", 100)
 
 
@@ -109,7 +117,8 @@ def top_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_bigrams_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 most frequent bigrams of the report's sample of 1000 documents."""
-    docs = vocabulary.sample(ar_documents(spark, sf_dir), BIGRAM_SAMPLE_ROWS)
+    docs = vocabulary.sample(table(spark, sf_dir, "documents").select("doc_id", "text"), BIGRAM_SAMPLE_ROWS)
+    docs = docs.withColumn("text", arabic_script(F.col("text")))
     return vocabulary.top(vocabulary.bigram_count(docs), "bigram", 15)
 
 

@@ -55,14 +55,14 @@ def arabic_script(text: Column) -> Column:
     return F.translate(out, LATIN_LETTERS, ARABIC_LETTERS)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, text`` of the raw corpus."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """``doc_id, text`` of the raw corpus, and further columns of the table on request."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *more), "doc_id")
 
 
-def ar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ar_documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """``doc_id, text`` in Arabic script."""
-    return documents(spark, sf_dir).withColumn("text", arabic_script(F.col("text")))
+    return documents(spark, sf_dir, *more).withColumn("text", arabic_script(F.col("text")))
 
 
 def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

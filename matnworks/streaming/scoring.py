@@ -24,7 +24,7 @@ SUMMED = ("TP", "TN", "FP", "FN", "predicted_human", "predicted_ai", "n_unlabell
 def score_stream(
     stream: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str
 ) -> StreamingQuery:
-    """Score what is available. ``score`` must return ``doc_id, text, label, prediction``."""
+    """Score what is available. ``score`` must return at least ``doc_id, label, prediction``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
@@ -32,7 +32,7 @@ def score_stream(
         score(batch).write.mode("overwrite").parquet(f"{folder}/scored/{partition}")
         elapsed_ms = (time.perf_counter() - started) * 1000
         rows = batch.sparkSession.read.parquet(f"{folder}/scored/{partition}")
-        chunk = F.floor(F.col("doc_id") / STREAM_BATCH_ROWS).alias("chunk")
+        chunk = F.expr(f"doc_id div {STREAM_BATCH_ROWS}").alias("chunk")
         counts = confusion_matrix(rows.select(chunk, "label", "prediction"), "chunk")
         counts.withColumn("latency_ms", F.lit(elapsed_ms)).write.mode("overwrite").parquet(
             f"{folder}/counts/{partition}"
