@@ -11,7 +11,7 @@ from matnworks.fixed_values import MODEL_NAMES
 from matnworks.operators import cleaning, models, split
 from matnworks.registry import query
 from matnworks.sources import files
-from matnworks.sources.tables import ar_documents, class_labels, labelled
+from matnworks.sources.tables import ar_documents, arabic_script, class_labels, documents, labelled
 
 
 def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +25,14 @@ def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared documents with labels. Texts are joined before cleaning, so unlabelled ones are not cleaned."""
-    corpus = labelled(ar_documents(spark, sf_dir), class_labels(spark, sf_dir))
-    return cleaning.with_features(cleaning.with_clean_text(cleaning.clean_corpus(corpus))).drop("text")
+    """Prepared documents with labels.
+
+    Texts are joined before cleaning, so unlabelled ones are not cleaned, and the filter on empty
+    texts sees the stored column, so it is pushed to the scan.
+    """
+    raw = cleaning.clean_corpus(labelled(documents(spark, sf_dir), class_labels(spark, sf_dir)))
+    corpus = raw.withColumn("text", arabic_script(F.col("text")))
+    return cleaning.with_features(cleaning.with_clean_text(corpus)).drop("text")
 
 
 def _evaluated(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
