@@ -9,6 +9,11 @@ from matnworks.functions import arabic
 from matnworks.functions.stylometry import features
 
 
+def with_doc_id(df: DataFrame) -> DataFrame:
+    """Adds ``doc_id`` unless the frame brings its own: a hash of the text, the same on every run."""
+    return df if "doc_id" in df.columns else df.withColumn("doc_id", F.xxhash64("text"))
+
+
 def clean_corpus(df: DataFrame, label_type: str = "int") -> DataFrame:
     """Rows with a non-empty text and a valid label. A label that does not parse counts as null."""
     return (

@@ -61,16 +61,24 @@ def training_table(corpus: DataFrame) -> DataFrame:
     return materialize(corpus.select(*columns), "training")
 
 
-def fit_models(table: DataFrame, *kinds: str) -> dict[str, PipelineModel]:
-    """Fit vectors and classifiers on the training split. Nothing of the other splits is seen."""
+def fit_models(
+    table: DataFrame, *kinds: str, rows_per_task: int = 2000, weighted_svm: bool = False
+) -> dict[str, PipelineModel]:
+    """Fit vectors and classifiers on the training split. Nothing of the other splits is seen.
+
+    Training runs one job per iteration, so tasks with few rows are merged; a large training set
+    keeps its partitions.
+    """
     train = take(table, "train")
     vectors = vector_pipeline().fit(train)
     prepared = with_class_weight(
         vectors.transform(train).select("doc_id", "label", "features")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        packed = prepared.coalesce(prepared.count() // rows_per_task + 1)
         return {
-            kind: PipelineModel([*vectors.stages, classifier(kind).fit(prepared)]) for kind in kinds
+            kind: PipelineModel([*vectors.stages, classifier(kind, weighted_svm).fit(packed)])
+            for kind in kinds
         }
     finally:
         prepared.unpersist()

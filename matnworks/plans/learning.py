@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matnworks.fixed_values import MODEL_NAMES
-from matnworks.operators import cleaning, models, split
+from matnworks.operators import cleaning, models, reports, split
 from matnworks.registry import query
 from matnworks.sources import files
 from matnworks.sources.tables import ar_documents, arabic_script, class_labels, documents, labelled
@@ -80,6 +80,15 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.feature_importance(*_fitted(spark, sf_dir, "rf"))
 
 
+@query("feature_report")
+def feature_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature means by label with the forest importance of each feature."""
+    table, model = _fitted(spark, sf_dir, "rf")
+    # Five rows.
+    importance = F.broadcast(models.feature_importance(table, model))
+    return reports.feature_summary(table).join(importance, "feature")
+
+
 @query("lr_coefficients")
 def lr_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.lr_coefficients(*_fitted(spark, sf_dir, "lr"))

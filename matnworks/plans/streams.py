@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 from matnworks.fixed_values import FEATURES
 from matnworks.operators import cleaning, models, reports
-from matnworks.plans.authorship import ROUNDED, labelled_features
+from matnworks.plans.authorship import ROUNDED
 from matnworks.plans.learning import training_corpus
 from matnworks.plans.shared_sql import FEATURES as FEATURES_SQL
 from matnworks.plans.shared_sql import SCORED
 from matnworks.registry import query
 from matnworks.sources import files
-from matnworks.sources.tables import class_labels, document_stream, labelled
+from matnworks.sources.tables import ar_documents, class_labels, document_stream, labelled
 from matnworks.streaming import ingest, scoring
 
 NAMES = list(FEATURES)
@@ -22,6 +22,7 @@ NAMES = list(FEATURES)
 STREAM_ROWS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
         T.StructField("label", T.DoubleType()),
         *[T.StructField(name, T.DoubleType()) for name in NAMES],
     ]
@@ -30,14 +31,15 @@ STREAM_ROWS = T.StructType(
 
 @query(
     "stream_ingest",
-    f"""WITH {FEATURES_SQL} SELECT doc_id, quality::DOUBLE AS label, {ROUNDED}
-        FROM features JOIN labels USING (doc_id)""",
+    f"""WITH {FEATURES_SQL} SELECT doc_id, text, quality::DOUBLE AS label, {ROUNDED}
+        FROM features JOIN ar_documents USING (doc_id) JOIN labels USING (doc_id)""",
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature rows land as CSV files, are read as a stream and appended to a Parquet table."""
+    """Texts with features land as CSV files, are read as a stream and appended to a Parquet table."""
     folder = files.scratch(spark, "ingest")
-    rows = labelled_features(spark, sf_dir).select(
-        "doc_id", F.col("label").cast("double").alias("label"), *NAMES
+    corpus = labelled(ar_documents(spark, sf_dir), class_labels(spark, sf_dir))
+    rows = cleaning.with_features(corpus).select(
+        "doc_id", "text", F.col("label").cast("double").alias("label"), *NAMES
     )
     files.write_csv(rows, f"{folder}/landing")
     stream = ingest.csv_stream(spark, f"{folder}/landing", STREAM_ROWS, files_per_trigger=4)

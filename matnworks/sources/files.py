@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# CSV as RFC 4180 writes it: a quote in a field is doubled and a field may hold newlines.
+# CSV as RFC 4180 writes it: a quote in a field is doubled and a field may hold newlines. The format
+# cannot tell an empty text from a missing one; both are read as null, and the corpus drops both.
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 CSV_WRITE = {
     "header": "true",
