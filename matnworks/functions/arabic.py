@@ -70,6 +70,11 @@ def stem_tokens(words: Column) -> Column:
     return F.transform(F.transform(words, strip_prefix), strip_suffix)
 
 
+def stem_text(cleaned: Column) -> Column:
+    """A stop-word-free text with every word stemmed."""
+    return F.array_join(stem_tokens(F.split(cleaned, " ")), " ")
+
+
 def clean_tokens(
     text: Column, stopwords: Iterable[str] = STOPWORDS, normalize_stopwords: bool = False
 ) -> Column:

@@ -24,12 +24,11 @@ def clean_corpus(df: DataFrame, label_type: str = "int") -> DataFrame:
 
 
 def processed_corpus(df: DataFrame) -> DataFrame:
-    """Adds the normalised, stop-word-free and stemmed forms of ``text``."""
-    return df.withColumn("normalized_text", arabic.normalize(F.col("text"))).withColumns(
-        {
-            "no_stopwords_text": arabic.remove_stopwords(F.col("normalized_text")),
-            "clean_text": arabic.clean_text(F.col("text")),
-        }
+    """Adds the normalised, stop-word-free and stemmed forms of ``text``, each made from the one before."""
+    return (
+        df.withColumn("normalized_text", arabic.normalize(F.col("text")))
+        .withColumn("no_stopwords_text", arabic.remove_stopwords(F.col("normalized_text")))
+        .withColumn("clean_text", arabic.stem_text(F.col("no_stopwords_text")))
     )
 
 
