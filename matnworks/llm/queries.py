@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matnworks.llm import quality
+from matnworks.llm import packing, quality
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op2_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
