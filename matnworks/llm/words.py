@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
 SLICE_BYTES = 2_000_000
@@ -139,7 +140,7 @@ class Texts:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each holds at most ``SLICE_BYTES`` of text, or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0)
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0)
         ends = np.cumsum(np.asarray(sizes, dtype=np.int64))
         at = 0
         while at < batch.num_rows:
