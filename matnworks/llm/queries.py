@@ -30,15 +30,20 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file() -> str:
+def tokenizer() -> tuple[str, str, str]:
+    """The byte-level vocabulary as a tokenizer file and as ranks, and the pattern that splits text."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return (
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
 
 
 @query("op5_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer())
 
 
 @query("op8_minhash_near_dedup")
