@@ -148,3 +148,25 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
             yield batch.slice(at, to - at)
             at = to
+
+
+def spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Content hashes of ranges of values of any length."""
+    powers, inverse = _tables(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * inverse[: len(values)], out=total[1:])
+    return mix((total[end] - total[start]) * powers[start] + (end - start).astype(np.uint64))
+
+
+def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of every ``width`` consecutive values, in linear time whatever the width."""
+    count = len(values) - width + 1
+    if count <= 0:
+        return values[:0]
+    size = -(-len(values) // width) * width
+    padded = np.full(size, np.uint64(2**64 - 1), np.uint64)
+    padded[: len(values)] = values
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
