@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.llm import decontamination, neardup, packing, passages, quality
+from matnworks.llm import decontamination, lines, neardup, packing, passages, quality
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,26 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+LINE_SQL = r"""
+WITH l AS (
+    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM documents WHERE text IS NOT NULL),
+counts AS (SELECT source, trim(line, ' ') AS k, count(DISTINCT text) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY 1, 2),
+totals AS (SELECT source, count(DISTINCT text) AS total FROM documents WHERE text IS NOT NULL GROUP BY 1),
+bad AS (SELECT c.source, k FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 5 AND n > 0.1 * total),
+kept AS (
+    SELECT doc_id, count(*) FILTER (trim(line, ' ') <> '') AS n_lines,
+        count(*) FILTER (k IS NOT NULL) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (k IS NULL) AS text
+    FROM l LEFT JOIN bad ON l.source IS NOT DISTINCT FROM bad.source AND trim(line, ' ') = k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+    CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_line_dedup", LINE_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
