@@ -33,8 +33,8 @@ from matnworks.llm.components import components
 from matnworks.llm.words import Texts, mix, rolling, slices
 from matnworks.sources import files
 
-BANDS = 30
-ROWS = 5
+BANDS = 45
+ROWS = 7
 
 SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
 SETS = "doc_id long, shingles array<long>"
@@ -56,7 +56,7 @@ def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int)
             at = np.arange(len(hashes))
             slot = places[at, pick].astype(np.int64)
             places[at, pick] = places[at, rank]
-        np.minimum.at(out, rows * slots + slot, np.uint64(rank << 56) | (random >> np.uint64(8)))
+        np.minimum.at(out, rows * slots + slot, np.uint64(rank << 52) | (random >> np.uint64(12)))
         open_rows = (out.reshape(count, slots) == empty).any(axis=1)
         stay = open_rows[rows]
         if not stay.any():
@@ -64,7 +64,7 @@ def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int)
         if not stay.all() or places is None:
             hashes, rows, pick = hashes[stay], rows[stay], pick[stay]
             if places is None:
-                places = np.tile(np.arange(slots, dtype=np.uint8), (len(hashes), 1))
+                places = np.tile(np.arange(slots, dtype=np.uint16), (len(hashes), 1))
                 places[np.arange(len(hashes)), pick] = 0
             else:
                 places = places[stay]
