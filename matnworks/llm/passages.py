@@ -187,18 +187,15 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """
     blocks = blocks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = files.materialize(anchors(docs), "anchors")
-    shared = found.groupBy("anchor").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), (F.min("phrase") < F.max("phrase")).alias("several")
-    )
-    shared = shared.where("low < high").select("anchor", "several")
-    found = files.materialize(found.join(shared, "anchor"), "recurring")
+    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    found = files.materialize(found.join(shared.where("low < high").select("anchor"), "anchor"), "recurring")
     firsts = found.groupBy("anchor", "phrase").agg(
-        F.min(F.struct("doc_id", "at")).alias("place"),
-        F.first("windows").alias("windows"),
-        F.first("several").alias("several"),
+        F.min(F.struct("doc_id", "at")).alias("place"), F.first("windows").alias("windows")
     )
-    firsts = firsts.select("anchor", "phrase", F.col("place.doc_id").alias("first"), "place.at", "windows", "several")
-    phrases = files.materialize(phrase_texts(docs, firsts), "phrases").dropDuplicates(["anchor", "phrase"])
+    firsts = firsts.select("anchor", "phrase", F.col("place.doc_id").alias("first"), "place.at", "windows")
+    firsts = files.materialize(firsts, "firsts")
+    several = firsts.groupBy("anchor").agg((F.count("*") > 1).alias("several"))
+    phrases = files.materialize(phrase_texts(docs, firsts.join(several, "anchor")), "phrases")
 
     windows = phrases.where("several").select("anchor", "phrase", "first", F.posexplode("hashes").alias("at", "window"))
     starts = windows.groupBy("anchor", "window").agg(F.min("first").alias("other"))
@@ -206,14 +203,13 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     earlier = earlier.groupBy("anchor", "phrase").agg(
         F.collect_list(F.struct("at", F.col("other").alias("first"))).alias("earlier")
     )
-    phrases = phrases.drop("hashes").join(earlier, ["anchor", "phrase"], "left")
-    phrases = files.materialize(phrases, "phrases")
+    earlier = files.materialize(earlier, "earlier")
 
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
-    known = phrases.select("anchor", "phrase", "first", F.col("earlier").isNotNull().alias("partly"))
-    wanted = found.join(known, ["anchor", "phrase"]).where("doc_id > first OR partly")
-    wanted = wanted.select("anchor", "phrase", block).distinct()
-    dealt = wanted.join(phrases.select("anchor", "phrase", "first", "text", "earlier"), ["anchor", "phrase"])
+    known = firsts.select("anchor", "phrase", "first").join(earlier, ["anchor", "phrase"], "left")
+    wanted = found.select("anchor", "phrase", "doc_id").join(known, ["anchor", "phrase"])
+    wanted = wanted.where("doc_id > first OR earlier IS NOT NULL").select("anchor", "phrase", block).distinct()
+    dealt = wanted.join(phrases.select("anchor", "phrase", "first", "text"), ["anchor", "phrase"])
     left = docs.select("doc_id", "text", block)
-    right = dealt.select("block", "first", "text", "earlier")
+    right = dealt.join(earlier, ["anchor", "phrase"], "left").select("block", "first", "text", "earlier")
     return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(locate, KEPT)
