@@ -26,8 +26,8 @@ from matnworks.llm.words import BASE, Texts, mix, slices
 BITS = 18
 SHARDS = 8
 MAX_ROWS = 20_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+EPOCHS, LEAST_UPDATES = 4, 5_000
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.01, 0.0
 
 LETTER, DIGIT, OTHER = 1, 2, 3
 KIND = np.full(256, OTHER, np.uint8)
@@ -92,7 +92,7 @@ class Leader:
         self.n[at] = n + square
 
 
-def train(rows: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
+def train(rows: DataFrame) -> np.ndarray:
     """Averaged weights from ``doc_id, text, label``, with the intercept last."""
 
     def fit(shard: pa.Table) -> pa.Table:
@@ -108,7 +108,7 @@ def train(rows: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
                 at, value = np.append(numbers[a:b], 1 << BITS), np.append(values[a:b], 1.0)
                 examples.append((at.astype(np.int32), value.astype(np.float32), label))
         order = np.arange(len(examples))
-        for epoch in range(EPOCHS):
+        for epoch in range(max(EPOCHS, -(-LEAST_UPDATES // len(examples)))):
             np.random.default_rng(epoch).shuffle(order)
             for i in order:
                 leader.learn(*examples[i])

@@ -6,12 +6,11 @@ have less variance than independent hashes. Once every slot holds a value of an
 cannot change it and a document stops.
 
 Documents with one set are one class. Classes that agree in a band share a bucket, and a bucket is compared
-as a star: each member with the smallest member, on full sets. Two members that are both linked to their
-centre are in one component already. For any other linked pair, the differences from the centre must
-overlap in so many shingles that a prefix of each, shingles new to the centre first, has one in common;
-members that share such a shingle form a bucket of the next round, without the centre, until no new
-comparison arises. So all links between texts that meet in a band are found with work linear in the size
-of a bucket.
+as a star: each member with the smallest member, on full sets. Members linked to their centre are in one
+component already. For any other linked pair of a star, the differences from the centre must overlap in so
+many shingles that a prefix of each, shingles rare in the star first, has one in common at places that
+leave room for the overlap. Pairs of such members from different components are compared in turn. So every
+link between texts that meet in a band is found, and a bucket is never expanded into all its pairs.
 
 Null or empty text: an empty set, linked with nothing, kept. Empty tables give no rows. Repeated rows are
 repeated in the result. Columns other than ``doc_id`` and ``text`` are ignored.
@@ -20,26 +19,24 @@ repeated in the result. Columns other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matnworks.llm.components import components
 from matnworks.llm.words import Texts, mix, rolling, slices
 from matnworks.sources import files
 
-BANDS = 45
-ROWS = 7
+BANDS = 36
+ROWS = 6
 
 SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
 SETS = "doc_id long, shingles array<long>"
-STARS = "c long, x long, linked boolean, marks array<struct<shingle: long, probe: boolean, index: boolean>>"
-MARK = pa.list_(pa.struct([("shingle", pa.int64()), ("probe", pa.bool_()), ("index", pa.bool_())]))
+STARS = "c long, x long, n_c long, n_x long, linked boolean, apart array<long>"
+
 
 
 def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int) -> np.ndarray:
@@ -56,7 +53,7 @@ def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int)
             at = np.arange(len(hashes))
             slot = places[at, pick].astype(np.int64)
             places[at, pick] = places[at, rank]
-        np.minimum.at(out, rows * slots + slot, np.uint64(rank << 52) | (random >> np.uint64(12)))
+        np.minimum.at(out, rows * slots + slot, np.uint64(rank << 56) | (random >> np.uint64(8)))
         open_rows = (out.reshape(count, slots) == empty).any(axis=1)
         stay = open_rows[rows]
         if not stay.any():
@@ -64,7 +61,7 @@ def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int)
         if not stay.all() or places is None:
             hashes, rows, pick = hashes[stay], rows[stay], pick[stay]
             if places is None:
-                places = np.tile(np.arange(slots, dtype=np.uint16), (len(hashes), 1))
+                places = np.tile(np.arange(slots, dtype=np.uint8), (len(hashes), 1))
                 places[np.arange(len(hashes)), pick] = 0
             else:
                 places = places[stay]
@@ -130,61 +127,71 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def compare(centre: np.ndarray, member: np.ndarray, percent: int) -> tuple[bool, list[dict]]:
-    """Whether two sets are linked, and the shingles by which the member may meet others of its star.
-
-    With ``d`` the symmetric difference of two sets and ``s`` the sum of their sizes, a link is
-    ``d <= share * s``. A pair (a, b) around a centre has ``d = |Da| + |Db| - 2 overlap`` for the differences
-    D from it. If a is not linked to the centre, the overlap exceeds ``(|Db| + share * (|c| - |b|)) / 2`` (the
-    index prefix of b), and is at least ``(|Da| - share * (|a| + |c|)) / (1 + share)`` (the probe prefix of a).
-    """
-    share = (100 - percent) / (100 + percent)
-    new = np.setdiff1d(member, centre, assume_unique=True)
-    gone = np.setdiff1d(centre, member, assume_unique=True)
-    apart = len(new) + len(gone)
-    linked = (100 + percent) * apart <= (100 - percent) * (len(centre) + len(member))
-    least = math.floor((apart + share * (len(centre) - len(member))) / 2 - 1e-9)
-    index = min(apart, apart - least)
-    probe = 0
-    if not linked:
-        excess = apart - share * (len(centre) + len(member))
-        probe = apart - max(1, math.ceil(excess / (1 + share) - 1e-9)) + 1
-    order = np.concatenate([new, gone])[: max(index, probe)]
-    return linked, [{"shingle": s, "probe": i < probe, "index": i < index} for i, s in enumerate(order.tolist())]
-
-
 def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Sizes, link and symmetric difference of every pair ``c, x``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in range(0, batch.num_rows, 1000):
-                rows = batch.slice(part, 1000)
-                found = [
-                    compare(np.asarray(c.values), np.asarray(x.values), percent)
-                    for c, x in zip(rows.column(2), rows.column(3), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0),
-                        rows.column(1),
-                        pa.array([linked for linked, _ in found], pa.bool_()),
-                        pa.array([marks for _, marks in found], MARK),
-                    ],
-                    ["c", "x", "linked", "marks"],
-                )
+            out: list[tuple] = []
+            for c, x, centre, member in zip(*batch.columns, strict=True):
+                a, b = np.asarray(centre.values), np.asarray(member.values)
+                apart = np.setxor1d(a, b, assume_unique=True)
+                linked = (100 + percent) * len(apart) <= (100 - percent) * (len(a) + len(b))
+                out.append((c.as_py(), x.as_py(), len(a), len(b), linked, apart))
+            types = [*[pa.int64()] * 4, pa.bool_(), pa.list_(pa.int64())]
+            names = ["c", "x", "n_c", "n_x", "linked", "apart"]
+            columns = zip(*out, strict=True) if out else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     of_x = sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
     of_c = sets.select(F.col("doc_id").alias("c"), F.col("shingles").alias("sc"))
     return pairs.join(of_x, "x").join(of_c, "c").select("c", "x", "sc", "sx").mapInArrow(run, STARS)
 
 
-def bucket_stars(rows: DataFrame, keys: list[str], wanted: str) -> DataFrame:
-    """``c, x``: every member of each bucket that fulfils ``wanted``, with the bucket's smallest member."""
-    buckets = rows.groupBy(*keys).agg(
-        F.min("x").alias("c"), F.max("x").alias("last"), F.max("probe").alias("probe"), F.max("index").alias("index")
+def bucket_stars(members: DataFrame) -> DataFrame:
+    """``c, x``: every member of each bucket (``bucket``, ``x``) with the smallest one."""
+    buckets = members.groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("last")).where("c < last")
+    return members.join(buckets.select("bucket", "c"), "bucket").where("x > c").select("c", "x").distinct()
+
+
+def further_pairs(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``c, x``: pairs of members of a star that may be linked although not both are linked to its centre.
+
+    With ``d`` the symmetric difference of two sets and ``s`` the sum of their sizes, a link is
+    ``d <= share * s``. A pair (a, b) around a centre c has ``d = |Da| + |Db| - 2 overlap`` for the differences
+    D from c. If a is not linked to c, a link of the pair needs an overlap of more than
+    ``(|Db| + share * (|c| - |b|)) / 2`` (so the index prefix of b is long enough), and of at least
+    ``(|Da| - share * (|a| + |c|)) / (1 + share)`` (the probe prefix of a).
+    """
+    share = (100 - percent) / (100 + percent)
+    of_x = labels.select(F.col("node").alias("x"), F.col("component").alias("of_x"))
+    of_c = labels.select(F.col("node").alias("c"), F.col("component").alias("of_c"))
+    star = compared.join(of_x, "x", "left").join(of_c, "c", "left")
+    star = star.withColumns({"of_x": F.coalesce("of_x", "x"), "of_c": F.coalesce("of_c", "c"), "d": F.size("apart")})
+    open_stars = star.where("NOT linked AND of_x <> of_c").select("c").distinct()
+    star = star.join(open_stars, "c")
+    least = F.floor((F.col("d") + share * (F.col("n_c") - F.col("n_x"))) / 2 - 1e-9)
+    excess = F.col("d") - share * (F.col("n_c") + F.col("n_x"))
+    probe = F.col("d") + 1 - F.greatest(F.lit(1), F.ceil(excess / (1 + share) - 1e-9))
+    star = star.withColumns(
+        {
+            "index": F.least(F.col("d"), F.col("d") - least),
+            "probe": F.when(F.expr("NOT linked AND of_x <> of_c"), probe).otherwise(0),
+        }
+    )
+    rows = star.select("c", "x", "n_x", "of_x", "d", "index", "probe", F.explode("apart").alias("shingle"))
+    counts = rows.groupBy("c", "shingle").agg(F.count("*").alias("n"))
+    rows = rows.join(counts, ["c", "shingle"])
+    place = Window.partitionBy("c", "x").orderBy("n", "shingle")
+    rows = rows.withColumn("at", F.row_number().over(place)).where("n > 1 AND at <= greatest(index, probe)")
+    a = rows.where("at <= probe").select("c", "shingle", *[F.col(k).alias(f"a_{k}") for k in ("x", "n_x", "of_x", "d", "at")])
+    b = rows.where("at <= index").select("c", "shingle", *[F.col(k).alias(f"b_{k}") for k in ("x", "n_x", "of_x", "d", "at")])
+    met = a.join(b, ["c", "shingle"]).where("a_of_x <> b_of_x")
+    met = met.where(f"100 * least(a_n_x, b_n_x) >= {percent} * greatest(a_n_x, b_n_x)")
+    met = met.where(
+        f"1 + least(a_d - a_at, b_d - b_at) >= (a_d + b_d - {share!r} * (a_n_x + b_n_x)) / 2 - 1e-9"
     )
-    buckets = buckets.where(f"c < last AND {wanted}").select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col("c").alias("centre"))
-    met = rows.join(buckets, [rows[k] == buckets[f"k_{k}"] for k in keys])
-    return met.where("x > centre").select(F.col("centre").alias("c"), "x").distinct()
+    return met.select(F.least("a_x", "b_x").alias("c"), F.greatest("a_x", "b_x").alias("x")).distinct()
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -198,26 +205,18 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
         F.min("doc_id").alias("x"), F.any_value("bands").alias("bands")
     )
     classes = files.materialize(classes, "classes")
-    in_bands = classes.select("x", F.explode("bands").alias("band"), F.lit(True).alias("probe"), F.lit(True).alias("index"))
-    todo = files.materialize(bucket_stars(in_bands, ["band"], "true"), "pairs")
-    ids = todo.select(F.col("x").alias("doc_id")).union(todo.select("c")).distinct()
+    pairs = files.materialize(bucket_stars(classes.select("x", F.explode("bands").alias("bucket"))), "pairs")
+    ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("c")).distinct()
     sets = files.materialize(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id"), shingle), "sets")
-    compared: list[DataFrame] = []
-    while not todo.isEmpty():
-        compared.append(files.materialize(stars(todo, sets, percent), "stars"))
-        known = reduce(DataFrame.union, compared)
-        rows = known.select(F.col("c").alias("star"), "x", F.explode("marks").alias("mark"))
-        rows = rows.select("star", "x", "mark.shingle", "mark.probe", "mark.index")
-        fresh = bucket_stars(rows, ["star", "shingle"], "probe AND index")
-        todo = files.materialize(fresh.join(known.select("c", "x"), ["c", "x"], "left_anti"), "pairs")
-    of_class = classes.select("digest", "x")
-    if compared:
-        links = known.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b"))
-        labels = components(links).select(F.col("node").alias("x"), "component")
-        of_class = of_class.join(labels, "x", "left")
-        of_class = of_class.select("digest", F.coalesce("component", "x").alias("component"))
-    else:
-        of_class = of_class.withColumnRenamed("x", "component")
+    compared = files.materialize(stars(pairs, sets, percent), "stars")
+    labels = components(compared.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
+    pairs = files.materialize(further_pairs(compared, labels, percent), "pairs")
+    links = stars(pairs, sets, percent).where("linked").select(F.col("c").alias("a"), F.col("x").alias("b"))
+    links = files.materialize(links, "links")
+    if not links.isEmpty():
+        labels = components(links.union(labels.select("node", "component")))
+    of_class = classes.select("digest", "x").join(labels.withColumnRenamed("node", "x"), "x", "left")
+    of_class = of_class.select("digest", F.coalesce("component", "x").alias("component"))
     found = marked.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.coalesce("component", "doc_id")
     return found.select(
