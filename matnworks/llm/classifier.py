@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from matnworks.llm.words import BASE, Texts, mix, slices
 
 BITS = 18
-SHARDS = 8
+SHARD_ROWS = 2_500
 MAX_ROWS = 20_000
 EPOCHS, LEAST_UPDATES = 4, 5_000
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.01, 0.0
@@ -92,8 +92,8 @@ class Leader:
         self.n[at] = n + square
 
 
-def train(rows: DataFrame) -> np.ndarray:
-    """Averaged weights from ``doc_id, text, label``, with the intercept last."""
+def train(rows: DataFrame, shards: int) -> np.ndarray:
+    """Averaged weights from ``doc_id, text, label``, with the intercept last; one task learns each shard."""
 
     def fit(shard: pa.Table) -> pa.Table:
         shard = shard.sort_by("doc_id")
@@ -116,19 +116,22 @@ def train(rows: DataFrame) -> np.ndarray:
         used = np.flatnonzero(weights)
         return pa.table({"feature": pa.array(used, pa.int32()), "weight": pa.array(weights[used])})
 
-    labelled = rows.where("label IN (0, 1)").select("doc_id", "text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).alias("shard"))
-    parts = labelled.groupBy("shard").applyInArrow(fit, WEIGHTS).groupBy("feature").agg((F.sum("weight") / SHARDS).alias("weight"))
+    labelled = rows.where("label IN (0, 1)").select("doc_id", "text", "label", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"))
+    parts = labelled.groupBy("shard").applyInArrow(fit, WEIGHTS).groupBy("feature").agg((F.sum("weight") / shards).alias("weight"))
     weights = np.zeros((1 << BITS) + 1)
     for feature, weight in parts.collect():  # at most one row per feature number, whatever the corpus
         weights[feature] = weight
     return weights
 
 
-def sample(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """About ``max_rows`` of the rows of ``labels``, chosen by a hash of ``doc_id``; all if there are fewer."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray:
+    """Weights learned from ``docs`` (``doc_id``, ``text``) and at most about ``max_rows`` rows of ``labels``
+    (``doc_id``, ``label``), in shards of about ``SHARD_ROWS``."""
     total = max(1, labels.count())
     share = min(1.0, max_rows / total)
-    return labels.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    chosen = labels.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by max_rows
+    return train(rows, max(1, round(total * share / SHARD_ROWS)))
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:

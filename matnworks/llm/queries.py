@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.llm import chat, decontamination, lines, neardup, packing, passages, quality
+from matnworks.llm import chat, classifier, decontamination, lines, neardup, packing, passages, quality
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,13 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         said.alias("text"),
     )
     return chat.read_back(chat.format_chat(chat.records(rows.union(added))))
+
+
+@query("op6_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1).alias("held_out")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"), held_out)
+    weights = classifier.fit(docs, labels.where("NOT held_out").select("doc_id", "label"))
+    scored = classifier.score(docs, weights)
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
