@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.llm import chat, classifier, decontamination, lines, neardup, packing, passages, quality
+from matnworks.llm import chat, classifier, decontamination, extraction, lines, neardup, packing, passages, pii, quality
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,15 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = classifier.fit(docs, labels.where("NOT held_out").select("doc_id", "label"))
     scored = classifier.score(docs, weights)
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op9_pii_random_field")
+def pii_random_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), pii.train())
+    counts = [f"n_{kind}" for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op7_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
