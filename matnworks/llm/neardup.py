@@ -207,7 +207,9 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     classes = files.materialize(classes, "classes")
     pairs = files.materialize(bucket_stars(classes.select("x", F.explode("bands").alias("bucket"))), "pairs")
     ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("c")).distinct()
-    sets = files.materialize(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id"), shingle), "sets")
+    # The ids grow with the corpus, so the join is planned alike at every size.
+    texts = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id")
+    sets = files.materialize(shingle_sets(texts, shingle), "sets")
     compared = files.materialize(stars(pairs, sets, percent), "stars")
     labels = components(compared.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
     pairs = files.materialize(further_pairs(compared, labels, percent), "pairs")
