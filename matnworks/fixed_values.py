@@ -57,9 +57,6 @@ MODEL_NAMES = {
 }
 
 # Rows in one reported stream batch, and sample sizes of the reports.
-STREAM_BATCH_ROWS = 50
-BIGRAM_SAMPLE_ROWS = 1000
-WORDCLOUD_SAMPLE_ROWS = 2000
 ERROR_SAMPLE_ROWS = 5
 ERROR_TEXT_CHARS = 300
 PREVIEW_ROWS = 3

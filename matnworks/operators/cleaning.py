@@ -10,8 +10,12 @@ from matnworks.functions.stylometry import features
 
 
 def with_doc_id(df: DataFrame) -> DataFrame:
-    """Adds ``doc_id`` unless the frame brings its own: a hash of the text, the same on every run."""
-    return df if "doc_id" in df.columns else df.withColumn("doc_id", F.xxhash64("text"))
+    """Adds ``doc_id`` unless the frame brings its own: 128 bits of a digest of the text, the same on every run.
+
+    Rows with one text are one document to every later step, so they fall in one part of the split.
+    """
+    digest = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 32)
+    return df if "doc_id" in df.columns else df.withColumn("doc_id", digest)
 
 
 def clean_corpus(df: DataFrame, label_type: str = "int") -> DataFrame:

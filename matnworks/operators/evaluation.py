@@ -85,41 +85,37 @@ def evaluation_table(df: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, score: str, buckets: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, score: str) -> DataFrame:
     """Exact area under the ROC curve with ties at half weight; 0 if a class is missing.
 
-    A rank over all scores would sort the whole frame in one task. Equal scores are merged first, so
-    a score that many rows share is one row; quantiles of the distinct scores cut them into buckets
-    that are ranked in parallel; what remains is one row per bucket. The merged scores are written
-    once, because quantiles and ranks both read them and a score may be costly to compute.
+    Equal scores are merged first, so a score that many rows share is one row. The merged scores are
+    dealt into ranges, as many as the session has shuffle partitions, and ranked within each; the ranges
+    add up by a prefix sum over one row for each. They are written with their range, because a second
+    pass must meet the same ranges.
     """
     counted = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),
         F.count_if(F.col("label") == 0).cast("double").alias("neg"),
     )
-    tied = materialize(counted, "scores").filter(F.col("score").isNotNull())
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = tied.agg(F.percentile_approx("score", cuts, 10 * buckets)).scalar()
-    bucket = F.size(F.filter("bounds", lambda b: b < F.col("score")))
+    ranged = counted.where("score IS NOT NULL").repartitionByRange("score").withColumn("part", F.spark_partition_id())
+    tied = materialize(ranged, "scores")
     below = F.sum("neg").over(
-        Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     )
-    per_bucket = (
-        tied.withColumn("bounds", F.coalesce(bounds, F.array().cast("array<double>")))
-        .withColumn("bucket", bucket)
-        .withColumn("below", F.coalesce(below, F.lit(0.0)))
-        .groupBy("bucket")
+    per_part = (
+        tied.withColumn("below", F.coalesce(below, F.lit(0.0)))
+        .groupBy("part")
         .agg(
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
             F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"),
         )
     )
-    # One row per bucket from here on.
-    earlier = F.sum("neg").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    # One row per range from here on.
+    earlier = F.sum("neg").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     wins = F.col("wins") + F.col("pos") * F.coalesce("earlier", F.lit(0.0))
     return (
-        per_bucket.withColumn("earlier", earlier)
+        per_part.withColumn("earlier", earlier)
         .agg(F.sum(wins).alias("wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .select(
             F.coalesce(F.try_divide(F.col("wins"), F.col("pos") * F.col("neg")), F.lit(0.0)).alias("auc")

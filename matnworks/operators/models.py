@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +37,15 @@ def tfidf_stages(dimensions: int = TFIDF_DIMENSIONS, min_doc_freq: int = MIN_DOC
 
 
 def vector_pipeline() -> Pipeline:
-    """Clean text and features to one vector: the TF-IDF slots, then the five features."""
-    assembler = VectorAssembler(
-        inputCols=["tfidf", *FEATURES], outputCol="features", handleInvalid="skip"
-    )
-    return Pipeline(stages=[*tfidf_stages(), assembler])
+    """Clean text and features to one vector: the TF-IDF slots, then the five features.
+
+    Rows with a missing feature are skipped before the TF-IDF stages. If the assembler skipped them, its
+    filter would hold the TF-IDF column and compute it a second time.
+    """
+    present = " AND ".join(f"{name} IS NOT NULL" for name in FEATURES)
+    skip = SQLTransformer(statement=f"SELECT * FROM __THIS__ WHERE {present}")
+    assembler = VectorAssembler(inputCols=["tfidf", *FEATURES], outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[skip, *tfidf_stages(), assembler])
 
 
 def classifier(kind: str, weighted_svm: bool = False):
@@ -62,22 +66,22 @@ def training_table(corpus: DataFrame) -> DataFrame:
 
 
 def fit_models(
-    table: DataFrame, *kinds: str, rows_per_task: int = 2000, weighted_svm: bool = False
+    table: DataFrame, *kinds: str, partitions: int = 16, weighted_svm: bool = False
 ) -> dict[str, PipelineModel]:
     """Fit vectors and classifiers on the training split. Nothing of the other splits is seen.
 
-    Training runs one job per iteration, so tasks with few rows are merged; a large training set
-    keeps its partitions.
+    Rows are dealt to ``partitions`` by ``doc_id`` and sorted there, since a forest depends on the layout
+    of its rows: the same rows in other files give the same model. Set it to suit the training set.
+    Class weights are counted on the stored label, so no vector is computed for them.
     """
     train = take(table, "train")
     vectors = vector_pipeline().fit(train)
-    prepared = with_class_weight(
-        vectors.transform(train).select("doc_id", "label", "features")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    vectorized = vectors.transform(with_class_weight(train)).select("doc_id", "label", "classWeight", "features")
+    prepared = vectorized.repartition(partitions, "doc_id").sortWithinPartitions("doc_id")
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        packed = prepared.coalesce(prepared.count() // rows_per_task + 1)
         return {
-            kind: PipelineModel([*vectors.stages, classifier(kind, weighted_svm).fit(packed)])
+            kind: PipelineModel([*vectors.stages, classifier(kind, weighted_svm).fit(prepared)])
             for kind in kinds
         }
     finally:
@@ -91,6 +95,13 @@ def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
+def model_errors(scored: DataFrame, texts: DataFrame, rows: int = 5, chars: int = 300) -> DataFrame:
+    """The first misclassified rows by ``doc_id`` of a frame of predictions, with their text cut for display."""
+    wrong = scored.where("label <> prediction").orderBy("doc_id").limit(rows)
+    joined = texts.select("doc_id", F.substring("text", 1, chars).alias("text")).join(F.broadcast(wrong), "doc_id")
+    return joined.select("doc_id", "text", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
 def evaluate_model(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     """One row: model, weighted metrics, AUC, confusion counts and F1 by class.
 
@@ -119,18 +130,19 @@ def lr_coefficients(df: DataFrame, model: PipelineModel) -> DataFrame:
     return rows.withColumn("abs_coef", F.abs("cofficient")).orderBy(F.desc("abs_coef"))
 
 
-def word2vec(df: DataFrame, min_count: int = 5, max_vocabulary: int = 1_000_000) -> DataFrame:
+def word2vec(df: DataFrame, min_count: int = 5, slots: int = 1 << 16, partitions: int = 8) -> DataFrame:
     """``doc_id, vector``: mean word vector of each document.
 
-    MLlib keeps the vocabulary on the driver, so the least count of a word grows with the corpus: no
-    more than ``max_vocabulary`` words can reach a count of tokens / max_vocabulary.
+    MLlib keeps the vocabulary on the driver, so words are hashed to ``slots`` numbers, as TF-IDF hashes
+    them; the model has the same size and the same rules whatever the corpus.
     """
-    corpus = materialize(df.select("doc_id", F.split("clean_text", " ").alias("tokens")), "tokens")
-    total = corpus.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+    slot = lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("string")
+    hashed = F.transform(F.filter(F.split("clean_text", " "), lambda w: w != ""), slot)
+    corpus = materialize(df.select("doc_id", hashed.alias("tokens")), "tokens")
     model = Word2Vec(
         vectorSize=WORD2VEC_DIMENSIONS,
-        minCount=max(min_count, -(-total // max_vocabulary)),
-        numPartitions=df.sparkSession.sparkContext.defaultParallelism,
+        minCount=min_count,
+        numPartitions=partitions,
         seed=42,
         inputCol="tokens",
         outputCol="vector",

@@ -11,7 +11,7 @@ from matnworks.sources.files import materialize
 
 # A term in more than this share of all (document, term) rows is frequent. There can be at most
 # 1 / HOT_SHARE such terms, whatever the size of the corpus.
-HOT_SHARE = 1e-4
+HOT_SHARE = 1e-5
 
 
 def term_frequencies(df: DataFrame, tokens: Column) -> DataFrame:

@@ -33,15 +33,6 @@ def top(counts: DataFrame, key: str, k: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), key).limit(k)
 
 
-def sample(df: DataFrame, rows: int) -> DataFrame:
-    """The first rows by ``doc_id``: the same sample on every run, unlike an unordered limit.
-
-    A limit leaves its rows in one task; they are spread again for the text functions.
-    """
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, 64)
-    return df.orderBy("doc_id").limit(rows).repartition(tasks, "doc_id")
-
-
 def corpus_totals(counts: DataFrame) -> DataFrame:
     """Tokens and vocabulary size from word counts."""
     return counts.agg(
@@ -58,15 +49,19 @@ def approximate_totals(df: DataFrame, tokens: Column, rsd: float = 0.01) -> Data
 
 
 def type_token_ratio(df: DataFrame) -> DataFrame:
-    """Tokens, types and their ratio for each label.
+    """Tokens, types and their ratio for each label; 0 for a label whose texts have no tokens.
 
     Grouping by (label, word) first spreads a label that holds most of the corpus over all tasks.
     """
-    per_word = words(df, keep=("label",)).groupBy("label", "word").agg(F.count("*").alias("n"))
+    per_word = (
+        df.select("label", F.explode_outer(clean_tokens(F.col("text"))).alias("word"))
+        .groupBy("label", "word")
+        .agg(F.count("word").alias("n"))
+    )
     return (
         per_word.groupBy("label")
-        .agg(F.sum("n").alias("tokens"), F.count("*").alias("types"))
-        .withColumn("ttr", F.col("types") / F.col("tokens"))
+        .agg(F.sum("n").alias("tokens"), F.count("word").alias("types"))
+        .withColumn("ttr", F.coalesce(F.try_divide("types", "tokens"), F.lit(0.0)))
         .orderBy("label")
     )
 

@@ -82,13 +82,28 @@ def length_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {CLEAN}
         SELECT count(*) FILTER (doc_id IS NULL) AS doc_id,
           count(*) FILTER (text IS NULL OR text = '') AS text,
+          count(*) FILTER (quality IS NULL) AS label,
           count(*) FILTER (normalized_text = '') AS normalized_text,
           count(*) FILTER (len(words) = 0) AS no_stopwords_text,
           count(*) FILTER (len(stems) = 0) AS clean_text
-        FROM clean""",
+        FROM clean LEFT JOIN labels USING (doc_id)""",
 )
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_profile(cleaning.processed_corpus(ar_documents(spark, sf_dir)))
+    """Missing values of every column of the processed corpus, labels of unlabelled documents included."""
+    docs = ar_documents(spark, sf_dir).join(class_labels(spark, sf_dir), "doc_id", "left")
+    return profile.null_profile(cleaning.processed_corpus(docs))
+
+
+@query(
+    "processed_corpus",
+    f"""WITH {CLEAN}
+        SELECT doc_id, normalized_text, array_to_string(words, ' ') AS no_stopwords_text,
+          array_to_string(stems, ' ') AS clean_text
+        FROM clean""",
+)
+def processed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three cleaned forms of every text."""
+    return cleaning.processed_corpus(ar_documents(spark, sf_dir)).drop("text")
 
 
 @query(

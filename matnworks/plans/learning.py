@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matnworks.fixed_values import MODEL_NAMES
-from matnworks.operators import cleaning, models, reports, split
+from matnworks.operators import cleaning, evaluation, models, reports, split
+from matnworks.plans.corpus import CORPUS
+from matnworks.plans.shared_sql import BUCKET, CLEAN
 from matnworks.registry import query
 from matnworks.sources import files
 from matnworks.sources.tables import ar_documents, arabic_script, class_labels, documents, labelled
 
 
 def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, clean_text`` and features of all documents, written once.
-
-    The assembler drops rows with missing features. On a computed frame that filter would be pushed
-    below the text functions and evaluate them twice.
-    """
-    docs = cleaning.with_features(cleaning.with_clean_text(ar_documents(spark, sf_dir)))
-    return files.materialize(docs.drop("text"), "prepared")
+    """``doc_id, clean_text`` and features of all documents."""
+    return cleaning.with_features(cleaning.with_clean_text(ar_documents(spark, sf_dir))).drop("text")
 
 
 def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +65,50 @@ def train_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_comparison")
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per model, all fitted on the same vectors."""
-    wanted = ("model", "accuracy", "precision", "recall", "f1", "auc")
+    wanted = ("model", "accuracy", "precision", "recall", "f1", "auc", "TP", "TN", "FP", "FN", "human_f1", "ai_f1")
     return _evaluated(spark, sf_dir, "lr", "rf", "svm").select(*wanted).orderBy(F.desc("f1"), "model")
 
 
+TEST_ROWS = f"""WITH {CORPUS}, test AS (SELECT * FROM corpus WHERE {BUCKET} >= 85)"""
+ACTUAL = "count(*) AS test_rows, count(*) FILTER (label = 0) AS actual_human, count(*) FILTER (label = 1) AS actual_ai"
+
+
+@query(
+    "model_test_rows",
+    f"""{TEST_ROWS} SELECT model, {ACTUAL} FROM test, (VALUES {", ".join(f"('{name}')" for name in MODEL_NAMES.values())}) AS m(model)
+        GROUP BY model""",
+)
+def model_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each model's confusion counts say about the test split: rows, and rows of each class."""
+    counts = model_comparison(spark, sf_dir)
+    return counts.select(
+        "model",
+        F.expr("TP + TN + FP + FN").alias("test_rows"),
+        F.expr("TN + FP").alias("actual_human"),
+        F.expr("TP + FN").alias("actual_ai"),
+    )
+
+
+@query("model_errors")
+def model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five misclassified documents of the test split, by the logistic model."""
+    table, model = _fitted(spark, sf_dir, "lr")
+    scored = models.predictions(model, split.take(table, "test")).select("doc_id", "label", "prediction")
+    return models.model_errors(files.materialize(scored, "predictions"), ar_documents(spark, sf_dir))
+
+
+@query("model_per_class")
+def model_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and F1 by class of each model on the test split."""
+    table = models.training_table(training_corpus(spark, sf_dir))
+    test = split.take(table, "test")
+    rows = [
+        evaluation.evaluate_per_class(models.predictions(model, test)).select(F.lit(MODEL_NAMES[kind]).alias("model"), "*")
+        for kind, model in models.fit_models(table, "lr", "rf", "svm").items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _fitted(spark: SparkSession, sf_dir: str, kind: str) -> tuple[DataFrame, PipelineModel]:
     table = models.training_table(training_corpus(spark, sf_dir))
     return table, models.fit_models(table, kind)[kind]
@@ -113,9 +152,39 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.predictions(loaded, split.take(table, "test"))
 
 
+@query("model_roundtrip_check", f"{TEST_ROWS} SELECT count(*) AS test_rows, 0::BIGINT AS changed FROM test")
+def model_roundtrip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the test split, and those whose score or class changed by saving and loading."""
+    table, model = _fitted(spark, sf_dir, "lr")
+    path = files.scratch(spark, "model")
+    model.write().overwrite().save(path)
+    test = split.take(table, "test")
+    again = models.predictions(PipelineModel.load(path), test).select(
+        "doc_id", F.col("score").alias("score_again"), F.col("prediction").alias("prediction_again")
+    )
+    both = models.predictions(model, test).join(again, "doc_id")
+    return both.agg(
+        F.count("*").alias("test_rows"),
+        F.count_if(F.expr("score <> score_again OR prediction <> prediction_again")).alias("changed"),
+    )
+
+
+@query(
+    "score_batch_check",
+    "SELECT count(*) AS scored, count(DISTINCT doc_id) AS documents, 0::BIGINT AS out_of_range FROM documents",
+)
+def score_batch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows, scored documents, and probabilities that are none."""
+    return score_batch(spark, sf_dir).agg(
+        F.count("*").alias("scored"),
+        F.count_distinct("doc_id").alias("documents"),
+        F.count_if(F.expr("probability_ai IS NULL OR NOT probability_ai BETWEEN 0 AND 1")).alias("out_of_range"),
+    )
+
+
 @query("tfidf_hashed")
 def tfidf_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashed TF-IDF vectors as arrays of slots and weights."""
+    """Hashed TF-IDF vectors."""
     docs = files.materialize(cleaning.with_clean_text(ar_documents(spark, sf_dir)).drop("text"), "clean")
     tokenizer, hashing, idf = models.tfidf_stages()
     hashed = hashing.transform(tokenizer.transform(docs))
@@ -123,6 +192,19 @@ def tfidf_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.select("doc_id", F.size("tokens").alias("n_tokens"), "tfidf")
 
 
+@query(
+    "tfidf_hashed_mass",
+    f"""WITH {CLEAN} SELECT doc_id, greatest(len(stems), 1) AS n_tokens, greatest(len(stems), 1)::DOUBLE AS mass FROM clean""",
+)
+def tfidf_hashed_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document and the sum of its hashed term frequencies. MLlib takes an empty text as one empty token."""
+    docs = cleaning.with_clean_text(ar_documents(spark, sf_dir)).drop("text")
+    tokenizer, hashing, _ = models.tfidf_stages()
+    hashed = hashing.transform(tokenizer.transform(docs))
+    mass = F.aggregate(vector_to_array("raw_tf"), F.lit(0.0), lambda a, b: a + b)
+    return hashed.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), mass.alias("mass"))
+
+
 @query("word2vec")
 def word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = models.word2vec(cleaning.with_clean_text(ar_documents(spark, sf_dir)))

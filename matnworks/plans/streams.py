@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from matnworks.fixed_values import FEATURES
 from matnworks.operators import cleaning, models, reports
 from matnworks.plans.authorship import ROUNDED
-from matnworks.plans.learning import training_corpus
+from matnworks.plans.learning import prepared_documents, training_corpus
 from matnworks.plans.shared_sql import FEATURES as FEATURES_SQL
 from matnworks.plans.shared_sql import SCORED
 from matnworks.registry import query
@@ -58,55 +59,80 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({name: F.round(name, 6) for name in NAMES})
 
 
+LANDED = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("label", T.IntegerType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+DELIVERIES = 10
+
+
+def _landed_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """All documents, with their label if they have one, delivered as ten files and read one by one."""
+    docs = ar_documents(spark, sf_dir).join(class_labels(spark, sf_dir), "doc_id", "left")
+    rows = docs.select("doc_id", "text", "label", F.pmod("doc_id", F.lit(DELIVERIES)).cast("long").alias("batch"))
+    rows.repartition(DELIVERIES, "batch").write.partitionBy("batch").parquet(f"{folder}/landing")
+    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+
+
 def _linear_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Score labelled documents as they arrive; returns the folder of results."""
+    """Score documents as they arrive; returns the folder of results."""
     folder = files.scratch(spark, "scores")
-    labels = class_labels(spark, sf_dir)
 
     def score(batch: DataFrame) -> DataFrame:
-        margins = reports.score_linear(cleaning.with_features(batch)).select("doc_id", "margin", "prediction")
-        return labelled(margins, labels)
+        scored = reports.score_linear(cleaning.with_features(batch))
+        return scored.select("doc_id", "text", "label", "batch", "margin", "prediction")
 
-    scoring.score_stream(document_stream(spark, sf_dir), score, folder)
+    scoring.score_stream(_landed_stream(spark, sf_dir, folder), score, folder, key="batch")
     return folder
 
 
-@query("stream_linear_scores", f"WITH {SCORED} SELECT doc_id, label, margin, prediction FROM scored")
+ALL_SCORED = SCORED.replace("JOIN labels l", "LEFT JOIN labels l")
+
+
+@query(
+    "stream_linear_scores",
+    f"WITH {ALL_SCORED} SELECT doc_id, text, label, margin, prediction FROM scored JOIN ar_documents USING (doc_id)",
+)
 def stream_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _linear_stream(spark, sf_dir)
-    return scoring.scored_rows(spark, folder).select("doc_id", "label", "margin", "prediction")
+    return scoring.scored_rows(spark, folder).select("doc_id", "text", "label", "margin", "prediction")
 
 
-CHUNKS = f"""{SCORED},
+BATCHES = f"""{ALL_SCORED},
 counts AS (
-  SELECT doc_id // 50 AS batch, count(*) AS n, count(*) FILTER (prediction = 0) AS predicted_human,
+  SELECT doc_id % {DELIVERIES} AS batch, count(label) AS n, count(*) FILTER (prediction = 0) AS predicted_human,
     count(*) FILTER (prediction = 1) AS predicted_ai,
     (count(*) FILTER (label = 0 AND prediction = 0))::DOUBLE AS tn,
     (count(*) FILTER (label = 1 AND prediction = 1))::DOUBLE AS tp,
-    (count(*) FILTER (label = 0))::DOUBLE AS h, (count(*) FILTER (label = 1))::DOUBLE AS a
-  FROM scored GROUP BY doc_id // 50),
-chunks AS (
-  SELECT batch, n AS n_records, round((tp + tn) / n, 4) AS accuracy,
-    round(h / n * coalesce(2 * tn / nullif(h + predicted_human, 0), 0)
-      + a / n * coalesce(2 * tp / nullif(a + predicted_ai, 0), 0), 4) AS f1,
-    predicted_human, predicted_ai, round(coalesce(tn / nullif(h, 0), 0), 4) AS human_recall,
-    round(coalesce(tp / nullif(a, 0), 0), 4) AS ai_recall
+    (count(*) FILTER (label = 0 AND prediction = 1))::DOUBLE AS fp,
+    (count(*) FILTER (label = 1 AND prediction = 0))::DOUBLE AS fn
+  FROM scored GROUP BY doc_id % {DELIVERIES}),
+batches AS (
+  SELECT batch, n AS n_records, coalesce(round((tp + tn) / nullif(n, 0), 4), 0) AS accuracy,
+    coalesce(round((tn + fp) / nullif(n, 0) * coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0)
+      + (tp + fn) / nullif(n, 0) * coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4), 0) AS f1,
+    predicted_human, predicted_ai, round(coalesce(tn / nullif(tn + fp, 0), 0), 4) AS human_recall,
+    round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS ai_recall
   FROM counts)"""
 
 
-@query("stream_batch_metrics", f"WITH {CHUNKS} SELECT * FROM chunks")
+@query("stream_batch_metrics", f"WITH {BATCHES} SELECT * FROM batches")
 def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.chunk_metrics(spark, _linear_stream(spark, sf_dir))
+    return scoring.key_metrics(spark, _linear_stream(spark, sf_dir), "batch")
 
 
 @query(
     "stream_summary",
-    f"""WITH {CHUNKS} SELECT count(*) AS batches, round(avg(accuracy), 6) AS avg_accuracy,
+    f"""WITH {BATCHES} SELECT count(*) AS batches, round(avg(accuracy), 6) AS avg_accuracy,
           round(avg(f1), 6) AS avg_f1, round(avg(human_recall), 6) AS avg_human_recall,
-          round(avg(ai_recall), 6) AS avg_ai_recall FROM chunks""",
+          round(avg(ai_recall), 6) AS avg_ai_recall FROM batches""",
 )
 def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scoring.stream_summary(scoring.chunk_metrics(spark, _linear_stream(spark, sf_dir)))
+    out = scoring.stream_summary(scoring.key_metrics(spark, _linear_stream(spark, sf_dir), "batch"))
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "batches"})
 
 
@@ -116,18 +142,48 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.batch_metrics(spark, _linear_stream(spark, sf_dir))
 
 
+@query(
+    "stream_latency_check",
+    f"""SELECT count(DISTINCT doc_id % {DELIVERIES}) AS batches, count(quality) AS labelled, count(*) AS scored,
+          0::BIGINT AS without_latency FROM documents LEFT JOIN labels USING (doc_id)""",
+)
+def stream_latency_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches, their labelled and scored rows, and batches without a measured latency."""
+    return stream_latency(spark, sf_dir).agg(
+        F.count("*").alias("batches"),
+        F.sum("n_records").alias("labelled"),
+        F.sum(F.col("predicted_human") + F.col("predicted_ai")).alias("scored"),
+        F.count_if(F.expr("NOT latency_ms > 0 OR NOT throughput_rps > 0")).alias("without_latency"),
+    )
+
+
+def _model_stream(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
+    folder = files.scratch(spark, "model-scores")
+
+    def score(batch: DataFrame) -> DataFrame:
+        scored = model.transform(cleaning.with_features(cleaning.with_clean_text(batch)))
+        return scored.select("doc_id", "text", "label", "batch", F.col("prediction").cast("int"))
+
+    scoring.score_stream(_landed_stream(spark, sf_dir, folder), score, folder, key="batch")
+    return scoring.scored_rows(spark, folder).select("doc_id", "text", "label", "prediction")
+
+
+def _logistic(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return models.fit_models(models.training_table(training_corpus(spark, sf_dir)), "lr")["lr"]
+
+
 @query("stream_scores")
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scored by the trained logistic model as they arrive."""
-    folder = files.scratch(spark, "model-scores")
-    table = models.training_table(training_corpus(spark, sf_dir))
-    model = models.fit_models(table, "lr")["lr"]
-    labels = class_labels(spark, sf_dir)
+    return _model_stream(spark, sf_dir, _logistic(spark, sf_dir))
 
-    def score(batch: DataFrame) -> DataFrame:
-        prepared = cleaning.with_features(cleaning.with_clean_text(batch)).drop("text")
-        predicted = model.transform(files.materialize(prepared, "prepared")).select("doc_id", F.col("prediction").cast("int"))
-        return labelled(predicted, labels)
 
-    scoring.score_stream(document_stream(spark, sf_dir), score, folder)
-    return scoring.scored_rows(spark, folder).select("doc_id", "label", "prediction")
+@query("stream_scores_check", "SELECT count(*) AS scored, 0::BIGINT AS different FROM documents")
+def stream_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the stream scored, and those that the same model scores otherwise in a batch."""
+    model = _logistic(spark, sf_dir)
+    batch = model.transform(prepared_documents(spark, sf_dir)).select("doc_id", F.col("prediction").alias("in_batch"))
+    both = _model_stream(spark, sf_dir, model).join(batch, "doc_id", "left")
+    return both.agg(
+        F.count("*").alias("scored"), F.count_if(F.expr("NOT prediction <=> CAST(in_batch AS INT)")).alias("different")
+    )

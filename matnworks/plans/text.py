@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.fixed_values import BIGRAM_SAMPLE_ROWS, WORDCLOUD_SAMPLE_ROWS
 from matnworks.functions import arabic
 from matnworks.functions.tokens import raw_tokens
 from matnworks.operators import tfidf, vocabulary
@@ -81,15 +80,12 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "wordcloud_terms",
-    f"""WITH {CLEAN}, first_docs AS (SELECT * FROM clean ORDER BY doc_id LIMIT 2000)
-        SELECT word, count(*) AS count FROM (SELECT unnest(stems) AS word FROM first_docs)
+    f"""WITH {CLEAN_WORDS} SELECT word, count(*) AS count FROM clean_words
         GROUP BY word ORDER BY count DESC, word LIMIT 100""",
 )
 def wordcloud_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 100 most frequent words of the report's sample of 2000 documents."""
-    docs = vocabulary.sample(table(spark, sf_dir, "documents").select("doc_id", "text"), WORDCLOUD_SAMPLE_ROWS)
-    docs = docs.withColumn("text", arabic_script(F.col("text")))
-    return vocabulary.top(vocabulary.word_count(docs), "word", 100)
+    """The 100 most frequent words of the corpus."""
+    return vocabulary.top(vocabulary.word_count(ar_documents(spark, sf_dir)), "word", 100)
 
 
 @query(
@@ -110,16 +106,13 @@ def top_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "top_bigrams_sample",
-    f"""WITH {CLEAN_BIGRAMS}, first_docs AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 1000)
-        SELECT bigram, count(*) AS count FROM clean_bigrams JOIN first_docs USING (doc_id)
+    "report_bigrams",
+    f"""WITH {CLEAN_BIGRAMS} SELECT bigram, count(*) AS count FROM clean_bigrams
         GROUP BY bigram ORDER BY count DESC, bigram LIMIT 15""",
 )
-def top_bigrams_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 15 most frequent bigrams of the report's sample of 1000 documents."""
-    docs = vocabulary.sample(table(spark, sf_dir, "documents").select("doc_id", "text"), BIGRAM_SAMPLE_ROWS)
-    docs = docs.withColumn("text", arabic_script(F.col("text")))
-    return vocabulary.top(vocabulary.bigram_count(docs), "bigram", 15)
+def report_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 most frequent bigrams of the corpus."""
+    return vocabulary.top(vocabulary.bigram_count(ar_documents(spark, sf_dir)), "bigram", 15)
 
 
 @query(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,10 +23,11 @@ CSV_WRITE = {
 }
 
 _local_base: dict[str, str] = {}
+_open_paths: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+    """A new path in the shared folder named by ``spark.checkpoint.dir``, removed by ``release``.
 
     Only a local session without that setting falls back to a temporary folder: on a cluster the
     executors could not see it.
@@ -34,8 +37,31 @@ def scratch(spark: SparkSession, name: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base.setdefault(context.applicationId, tempfile.mkdtemp(prefix="matnworks-"))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if context.applicationId not in _local_base:
+            _local_base[context.applicationId] = tempfile.mkdtemp(prefix="matnworks-")
+        base = _local_base[context.applicationId]
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _open_paths.append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Remove the scratch tables made after the first ``since``; call it once their results are consumed."""
+    context, removed = spark.sparkContext, 0
+    while len(_open_paths) > since:
+        path = context._jvm.org.apache.hadoop.fs.Path(_open_paths.pop())
+        removed += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that are made inside are removed at the end; read results before that."""
+    since = len(_open_paths)
+    try:
+        yield
+    finally:
+        release(spark, since)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -72,15 +72,20 @@ def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    """``doc_id, text`` in Arabic script as a stream over the files of the documents table."""
+def document_stream(
+    spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None, bytes_per_trigger: int = 1 << 30
+) -> DataFrame:
+    """``doc_id, text`` in Arabic script as a stream over the files of the documents table.
+
+    A micro-batch is bounded by files or by bytes, so a large backlog is many batches.
+    """
     reader = spark.readStream.schema(DOCUMENTS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     # The pattern lets the table be one file or a folder; a plain stream path must be a folder.
     stream = reader.parquet(f"{sf_dir}/documents.parque[t]").select("doc_id", "text")
-    if is_narrow(table(spark, sf_dir, "documents").select("doc_id", "text")):
-        stream = stream.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     return stream.withColumn("text", arabic_script(F.col("text")))
 
 

@@ -10,12 +10,18 @@ from matnworks.sources.files import CSV_READ
 
 
 def csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int = 1 << 30,
 ) -> DataFrame:
-    """CSV files of a folder as a stream, with an explicit schema."""
+    """CSV files of a folder as a stream, with an explicit schema and a bound for each micro-batch."""
     reader = spark.readStream.schema(schema).options(**CSV_READ)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.csv(path)
 
 

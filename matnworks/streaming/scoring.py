@@ -2,8 +2,8 @@
 
 A micro-batch is scored once into its own partition of the scored table, then reduced to confusion
 counts. Both writes replace the partition of that batch id, so a batch that is repeated after a
-failure leaves one result. Counts can be added up, so metrics for any grouping come from the small
-counts table and the stream keeps no state.
+failure leaves one result. Counts can be added up, so metrics by batch or key come from the counts
+table and the stream keeps no state.
 """
 
 from __future__ import annotations
@@ -15,16 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from matnworks.fixed_values import STREAM_BATCH_ROWS
 from matnworks.operators.evaluation import confusion_matrix, metrics
 
 SUMMED = ("TP", "TN", "FP", "FN", "predicted_human", "predicted_ai", "n_unlabelled")
 
 
 def score_stream(
-    stream: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str
+    stream: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, key: str | None = None
 ) -> StreamingQuery:
-    """Score what is available. ``score`` must return at least ``doc_id, label, prediction``."""
+    """Score what is available. ``score`` must return at least ``doc_id, label, prediction``.
+
+    The counts table has one row for each micro-batch, or for each value of ``key`` in it: a column of
+    few values such as the delivery that a row came with.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
@@ -32,8 +35,7 @@ def score_stream(
         score(batch).write.mode("overwrite").parquet(f"{folder}/scored/{partition}")
         elapsed_ms = (time.perf_counter() - started) * 1000
         rows = batch.sparkSession.read.parquet(f"{folder}/scored/{partition}")
-        chunk = F.expr(f"doc_id div {STREAM_BATCH_ROWS}").alias("chunk")
-        counts = confusion_matrix(rows.select(chunk, "label", "prediction"), "chunk")
+        counts = confusion_matrix(rows, *([key] if key else []))
         counts.withColumn("latency_ms", F.lit(elapsed_ms)).write.mode("overwrite").parquet(
             f"{folder}/counts/{partition}"
         )
@@ -65,10 +67,10 @@ def _rounded(counts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def chunk_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics for each run of 50 document ids, however the rows were split into micro-batches."""
+def key_metrics(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """Metrics for each value of the key, however its rows were split into micro-batches."""
     counts = spark.read.parquet(f"{folder}/counts")
-    return _rounded(counts.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in SUMMED]), "chunk")
+    return _rounded(counts.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMMED]), key)
 
 
 def batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,13 +91,3 @@ def stream_summary(per_batch: DataFrame) -> DataFrame:
     measured = ("accuracy", "f1", "human_recall", "ai_recall", "latency_ms", "throughput_rps")
     present = [c for c in measured if c in per_batch.columns]
     return per_batch.agg(F.count("*").alias("batches"), *[F.avg(c).alias(f"avg_{c}") for c in present])
-
-
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Spark's own timing of the recent micro-batches of a query."""
-    rows = [
-        (p.batchId, p.numInputRows, float(p.durationMs.get("triggerExecution", 0)), p.processedRowsPerSecond)
-        for p in query.recentProgress
-    ]
-    schema = "batch long, n_records long, latency_ms double, throughput_rps double"
-    return spark.createDataFrame(rows, schema)

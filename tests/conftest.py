@@ -32,3 +32,12 @@ def sf_dir():
     if not path.exists():
         pytest.skip("test tables are not available")
     return str(path)
+
+
+@pytest.fixture
+def shuffle_partitions(spark):
+    """Sets the number of shuffle partitions for one test."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    yield lambda n: spark.conf.set(key, n)
+    spark.conf.set(key, before)

@@ -37,7 +37,7 @@ def test_whole_flow(spark, sf_dir, tmp_path):
     assert files.read_csv(spark, at("summary"), summary.schema).count() == len(FEATURES)
 
     table = models.training_table(features)
-    model = models.fit_models(table, "lr", rows_per_task=20)["lr"]
+    model = models.fit_models(table, "lr", partitions=4)["lr"]
     test = split.take(table, "test")
     evaluation = models.evaluate_model(model, test, "LR").first()
     assert evaluation.TP + evaluation.TN + evaluation.FP + evaluation.FN == test.count()

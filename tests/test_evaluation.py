@@ -45,20 +45,22 @@ def test_per_class_metrics_equal_mllib(scored, label, ours, theirs):
     assert row[ours] == pytest.approx(expected, abs=1e-12)
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 256])
-def test_auc_equals_mllib(scored, buckets):
+@pytest.mark.parametrize("partitions", [2, 7, 300])
+def test_auc_equals_mllib(spark, scored, partitions, shuffle_partitions):
+    shuffle_partitions(partitions)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
-    auc = evaluation.roc_auc(scored, "score", buckets).first().auc
+    auc = evaluation.roc_auc(scored, "score").first().auc
     assert auc == pytest.approx(evaluator.evaluate(scored), abs=1e-12)
 
 
-@pytest.mark.parametrize("buckets", [2, 256])
-def test_auc_equals_pair_counting(spark, buckets):
+@pytest.mark.parametrize("partitions", [2, 300])
+def test_auc_equals_pair_counting(spark, partitions, shuffle_partitions):
     """Brute force over all pairs; negative zero is the same score as zero."""
+    shuffle_partitions(partitions)
     rows = predictions(200, seed=5) + [(i, float(i % 2), 1.0, 0.0 if i % 3 else -0.0) for i in range(200, 230)]
     pos, neg = ([r[3] for r in rows if r[1] == label] for label in (1.0, 0.0))
     wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
-    auc = evaluation.roc_auc(spark.createDataFrame(rows, SCHEMA), "score", buckets).first().auc
+    auc = evaluation.roc_auc(spark.createDataFrame(rows, SCHEMA), "score").first().auc
     assert auc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
 
 
@@ -66,7 +68,7 @@ def test_auc_with_one_score_for_most_rows(spark):
     rows = [(i, float(i % 2), 0.0, 0.5 if i % 3 else float(i)) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMA)
     expected = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
-    assert evaluation.roc_auc(df, "score", 16).first().auc == pytest.approx(expected, abs=1e-12)
+    assert evaluation.roc_auc(df, "score").first().auc == pytest.approx(expected, abs=1e-12)
 
 
 def test_auc_is_zero_without_a_class_or_rows(spark):

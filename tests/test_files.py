@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import types as T
 
@@ -80,6 +82,19 @@ def test_scratch_uses_the_shared_folder(spark):
     assert files.scratch(spark, "x") != files.scratch(spark, "x")
 
 
+def test_scratch_tables_are_removed(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.iterdir())
+    kept = files.materialize(spark.range(3).toDF("x"), "kept")
+    with files.scratch_space(spark):
+        inner = files.materialize(spark.range(5).toDF("x"), "inner")
+        assert inner.count() == 5
+    assert len(set(base.iterdir()) - before) == 1
+    assert kept.count() == 3
+    assert files.release(spark) >= 1
+    assert not set(base.iterdir()) - before
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default=None):

@@ -3,8 +3,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from matnworks.fixed_values import FEATURES, TFIDF_DIMENSIONS
-from matnworks.operators import cleaning, evaluation, models, split
-from matnworks.plans.learning import training_corpus
+from matnworks.operators import cleaning, evaluation, models, profile, split
+from matnworks.plans.learning import prepared_documents, training_corpus
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +39,9 @@ def test_parameters(fitted):
 def test_idf_sees_training_rows_only(table, fitted):
     """Document frequencies are those of the training split, below-threshold ones set to 0."""
     train = split.take(table, "train")
-    idf = fitted["lr"].stages[2]
+    idf = fitted["lr"].stages[3]
     assert idf.numDocs == train.count()
-    hashed = PipelineModel(fitted["lr"].stages[:2]).transform(train)
+    hashed = PipelineModel(fitted["lr"].stages[:3]).transform(train)
     expected = [0] * TFIDF_DIMENSIONS
     for row in hashed.select("raw_tf").collect():
         for slot in row.raw_tf.indices:
@@ -86,6 +86,35 @@ def test_rows_with_missing_features_are_skipped(table, fitted):
     assert models.predictions(fitted["lr"], broken).count() == expected
 
 
+def test_forest_does_not_depend_on_the_file_layout(spark, table, tmp_path):
+    results = []
+    for files in (1, 7):
+        path = str(tmp_path / f"layout{files}")
+        table.repartition(files, "label", "clean_text").write.parquet(path)
+        forest = models.fit_models(spark.read.parquet(path), "rf")["rf"]
+        results.append([r.importance for r in models.feature_importance(table, forest).collect()])
+    assert results[0] == results[1]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vectors_are_computed_once_per_row(spark, sf_dir, table, fitted):
+    scored = fitted["lr"].transform(prepared_documents(spark, sf_dir)).select("doc_id", "prediction", "probability")
+    assert _plan(scored).count("UDF(UDF(UDF(") == 1
+    assert _plan(fitted["lr"].transform(table).select("prediction")).count("UDF(UDF(UDF(clean_text") == 1
+    assert "UDF" not in _plan(profile.with_class_weight(split.take(table, "train")).groupBy("label").count())
+
+
+def test_model_errors_are_the_first_wrong_rows(spark):
+    scored = spark.createDataFrame([(i, float(i % 2), 1.0) for i in range(20)], "doc_id long, label double, prediction double")
+    texts = spark.createDataFrame([(i, "x" * 400) for i in range(20)], "doc_id long, text string")
+    out = models.model_errors(scored, texts).orderBy("doc_id").collect()
+    assert [r.doc_id for r in out] == [0, 2, 4, 6, 8]
+    assert all(len(r.text) == 300 and r.label == 0 and r.prediction == 1 for r in out)
+
+
 def test_word2vec_gives_one_vector_per_document(spark):
     texts = [(i, "كتاب بيت درس علم نظر " * 3) for i in range(20)]
     out = models.word2vec(spark.createDataFrame(texts, "doc_id long, clean_text string"))

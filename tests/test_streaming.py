@@ -16,7 +16,8 @@ def corpus(spark, sf_dir):
 
 
 def score(batch):
-    return reports.score_linear(cleaning.with_features(batch)).select("doc_id", "text", "label", "prediction")
+    scored = reports.score_linear(cleaning.with_features(batch))
+    return scored.select("doc_id", "text", "label", "prediction", (F.col("doc_id") % 3).alias("delivery"))
 
 
 def stream(spark, path, files_per_trigger=1):
@@ -48,8 +49,8 @@ def test_metrics_do_not_depend_on_the_micro_batches(spark, landed, tmp_path):
     results = []
     for files_per_trigger in (1, 2, 5):
         folder = str(tmp_path / f"out{files_per_trigger}")
-        scoring.score_stream(stream(spark, landed, files_per_trigger), score, folder)
-        results.append(rows(scoring.chunk_metrics(spark, folder)))
+        scoring.score_stream(stream(spark, landed, files_per_trigger), score, folder, key="delivery")
+        results.append(rows(scoring.key_metrics(spark, folder, "delivery")))
     assert results[0] == results[1] == results[2]
 
 
@@ -82,13 +83,15 @@ def test_repeated_batch_replaces_itself(spark, landed, tmp_path):
     scoring.score_stream(stream(spark, landed), fails_once, folder)
     clean = str(tmp_path / "clean")
     scoring.score_stream(stream(spark, landed), score, clean)
-    assert rows(scoring.chunk_metrics(spark, folder)) == rows(scoring.chunk_metrics(spark, clean))
+    counts = lambda at: rows(scoring.batch_metrics(spark, at).drop("latency_ms", "throughput_rps"))
+    assert counts(folder) == counts(clean)
+    assert spark.read.parquet(f"{folder}/counts").count() == 5
     assert scoring.scored_rows(spark, folder).count() == scoring.scored_rows(spark, clean).count()
 
 
-def test_batch_metrics_and_progress(spark, corpus, landed, tmp_path):
+def test_batch_metrics(spark, corpus, landed, tmp_path):
     folder = str(tmp_path / "out")
-    query = scoring.score_stream(stream(spark, landed), score, folder)
+    scoring.score_stream(stream(spark, landed), score, folder)
     per_batch = scoring.batch_metrics(spark, folder)
     out = per_batch.collect()
     assert per_batch.columns == [
@@ -101,7 +104,6 @@ def test_batch_metrics_and_progress(spark, corpus, landed, tmp_path):
     summary = scoring.stream_summary(per_batch).first()
     assert summary.batches == 5
     assert summary.avg_f1 == pytest.approx(sum(r.f1 for r in out) / 5)
-    assert scoring.progress(spark, query).agg(F.sum("n_records")).first()[0] == corpus.count()
 
 
 def test_null_labels_are_scored_but_not_measured(spark, corpus, tmp_path):
