@@ -13,26 +13,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from matnworks.llm.worker import keep
+
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_powers = np.ones(1, np.uint64)
-_inverse = np.ones(1, np.uint64)
-
-
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    global _powers, _inverse
-    if len(_powers) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        steps = np.full((2, size), BASE, np.uint64)
-        steps[1] = pow(BASE, -1, 1 << 64)
-        steps[:, 0] = 1
-        _powers, _inverse = np.cumprod(steps[0]), np.cumprod(steps[1])
-    return _powers, _inverse
+    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each, held once in a process."""
+    held = keep("powers", lambda: [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    if len(held[0]) < n:
+        for i, step in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            steps = np.full(max(n, 2 * SLICE_BYTES), step, np.uint64)
+            steps[0] = 1
+            held[i] = np.cumprod(steps)
+    return held[0], held[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
