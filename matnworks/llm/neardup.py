@@ -143,6 +143,7 @@ def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
+    sets = sets.dropDuplicates(["doc_id"])  # repeated rows
     of_x = sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
     of_c = sets.select(F.col("doc_id").alias("c"), F.col("shingles").alias("sc"))
     return pairs.join(of_x, "x").join(of_c, "c").select("c", "x", "sc", "sx").mapInArrow(run, STARS)
