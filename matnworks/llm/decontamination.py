@@ -79,7 +79,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     parts = starts.select("doc_id", "start", "w", "length", F.size("all").alias("needed"), F.explode("all").alias("s"))
     parts = parts.select("doc_id", "start", "w", "length", "needed", (F.col("start") + F.col("s.offset")).alias("at"), "s.shingle")
     found = parts.join(places.distinct(), ["doc_id", "at", "shingle"])
-    found = found.groupBy("doc_id", "start", "w", "length", "needed").count().where("count = needed")
+    found = found.groupBy("doc_id", "start", "w", "length", "needed").agg(F.count_distinct("at").alias("n"))
+    found = found.where("n = needed")
     found = files.materialize(found.select("doc_id", "start", "w", "length"), "found")
 
     hit = found.select("doc_id", F.explode(F.expr("sequence(start, start + length - 1)")).alias("at")).distinct()
