@@ -117,6 +117,7 @@ def feature_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.feature_summary(labelled_features(spark, sf_dir))
 
 
+# The published coefficients, stated a second time for the oracle.
 @query(
     "coefficient_rank",
     f"""WITH {LONG_MEANS}, coefficients(feature, c) AS (VALUES

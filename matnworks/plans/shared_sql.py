@@ -1,4 +1,8 @@
-"""Common table expressions of the oracle SQL, written for DuckDB's regex and list functions."""
+"""Common table expressions of the oracle SQL, written for DuckDB's regex and list functions.
+
+Fixed values: stop words, affixes, marks and coefficients stand here a second time, as text, so that the oracle does
+not follow a mistake in ``fixed_values``.
+"""
 
 SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 

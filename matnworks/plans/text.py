@@ -37,6 +37,7 @@ def remove_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The affixes, stated a second time for the oracle.
 @query(
     "light_stem",
     rf"""WITH {NORMALIZED},

@@ -1,10 +1,20 @@
 """Plain Python statements of the text semantics, one token or character at a time."""
 
 import random
+import re
 import unicodedata
 from collections import Counter
 
-from matnworks.fixed_values import PUNCTUATION, STEM_PREFIXES, STEM_SUFFIXES, STOPWORDS
+from matnworks.plans import shared_sql
+
+# The lists as the oracle states them, so that a mistake in the package's own lists does not pass.
+STOPWORDS = set(re.findall(r"'([^' ]+)'", shared_sql.CONTENT.split("NOT IN (")[1].split("))")[0]))
+STEM_PREFIXES = re.search(r"\^\(\?:([^)]*)\)", shared_sql.CLEAN)[1].split("|")
+STEM_SUFFIXES = re.search(r"\(\?:([^)]*)\)\$", shared_sql.CLEAN)[1].split("|")
+PUNCTUATION = [
+    mark.replace("''", "'")
+    for mark in re.findall(r"'((?:''|[^'])+)'", shared_sql.FEATURES.split("list_filter([")[1].split("],\n")[0])
+]
 
 SAME_LETTER = {"إ": "ا", "أ": "ا", "آ": "ا", "ٱ": "ا", "ة": "ه", "ى": "ي"}
 
