@@ -250,7 +250,7 @@ def check_packing(rows, texts):
 
 def test_packing(docs, empty):
     sequences, tokens = check_packing(packing.pack(docs, *queries.tokenizer()).collect(), ROWS)
-    assert sequences <= -(-tokens // 1024) + 1
+    assert sequences <= 1.05 * tokens / 1024 + 1  # few pieces leave room
     assert packing.pack(empty, *queries.tokenizer()).count() == 0
 
 
