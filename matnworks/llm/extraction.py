@@ -1,7 +1,9 @@
 """Main text of HTML pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. Scripts, styles, forms, navigation, page headers and footers,
-asides, and containers whose class or id names an advert, menu, notice, sidebar or comments are left out; a block
+A page is cut into blocks at block-level tags. Scripts, styles, navigation, page headers and footers and asides
+are left out. Forms, and containers whose class or id names an advert, menu, notice, sidebar or comments, are left
+out unless the text of the page is in them: long blocks with few links and stop words are weighed against those
+outside, and an article or main element that is nowhere else counts for the container. A block
 of an article or main element, as far as it is not mostly links, is text. The first pass decides every other
 block by its length, link density and share of stop words; short blocks stay open. The second pass gives an
 open block the label of its nearest decided neighbours, and of the nearer one where they differ.
@@ -13,6 +15,7 @@ read one by one. Columns other than ``page_id``, ``url`` and ``html`` are ignore
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections.abc import Iterator
@@ -42,7 +45,7 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "head title nav footer aside form button select textarea fieldset dialog menu iframe object svg canvas "
+    "head title nav footer aside button select textarea fieldset dialog menu iframe object svg canvas "
     "audio video noscript template map".split()
 )
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg")
@@ -54,6 +57,10 @@ BOILERPLATE = frozenset(
     "commentlist respond disqus replies newsletter subscribe subscription signup login pagination pager skip "
     "copyright disclaimer".split()
 )
+COMMENTS = frozenset("comment comments commentlist respond disqus replies".split())
+# Words that make a name tell of a state of the page and not of what a container holds.
+BEFORE = frozenset("has with without no not".split())
+BEHIND = frozenset("open opened closed active inactive enabled disabled visible hidden collapsed expanded".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
@@ -70,21 +77,82 @@ class Block:
     inside: bool
     label: bool | None = None
 
+    def measures(self) -> tuple[float, float]:
+        """Link density and share of stop words."""
+        words = self.text.lower().split()
+        return self.linked / len(self.text), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
 
-def names_boilerplate(attributes: str) -> bool:
+    def is_good(self) -> bool:
+        """Long, with few links, and with stop words unless very long."""
+        if len(self.text) < LONG:
+            return False
+        density, stopped = self.measures()
+        return density <= LINKED and (stopped >= STOPPED / 2 or len(self.text) >= 3 * LONG)
+
+
+@dataclass
+class Container:
+    """A container that its name or tag suggests to leave out."""
+
+    parent: int
+    comments: bool
+    good: int = 0
+    own: int = 0
+    articles: int = 0
+    own_articles: int = 0
+    left_out: bool = True
+
+
+def boilerplate_names(attributes: str) -> set[str]:
+    """The words for boilerplate in class, id and role; none of a name that tells of a state."""
+    out: set[str] = set()
     for m in NAMES.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        if any(part.lower() in BOILERPLATE for part in PART.findall(value)):
-            return True
-    return False
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = [part.lower() for part in PART.findall(name)]
+            if parts and parts[0] not in BEFORE and parts[-1] not in BEHIND:
+                out.update(BOILERPLATE.intersection(parts))
+    return out
+
+
+def settle(containers: list[Container], free: int, articles: int) -> None:
+    """Which containers are left out. ``free`` and ``articles``: good text and articles outside of all of them.
+
+    Outer containers come first, then those with more text; what a kept one holds itself is then outside, too.
+    Comments come last and are kept only where there is no other good text.
+    """
+    inner: dict[int, list[int]] = {}
+    for i in range(len(containers) - 1, -1, -1):
+        c = containers[i]
+        c.good += c.own
+        c.articles += c.own_articles
+        if c.parent >= 0 and not c.comments:
+            containers[c.parent].good += c.good
+            containers[c.parent].articles += c.articles
+        inner.setdefault(c.parent, []).append(i)
+    order = lambda i: (containers[i].comments, -containers[i].good, i)
+    waiting = [order(i) for i in inner.get(-1, [])]
+    heapq.heapify(waiting)
+    while waiting:
+        i = heapq.heappop(waiting)[2]
+        c = containers[i]
+        most = free == 0 or (c.good > free and not c.comments)
+        if most and (c.good >= 3 * LONG or (c.articles > 0 and articles == 0)):
+            c.left_out = False
+            free += c.own
+            articles += c.own_articles
+            for k in inner.get(i, []):
+                heapq.heappush(waiting, order(k))
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks outside of skipped containers, in page order."""
     out: list[Block] = []
+    containers: list[Container] = []
+    of: list[int] = []  # the innermost container of each block, or -1
+    within, free, articles = -1, 0, 0
     parts: list[str] = []
     links: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, skipped, of an article
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, skipped, of an article, the container around
     opened: dict[str, int] = {}
     skipped = inside = link = 0
 
@@ -94,6 +162,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = len(" ".join(html.unescape("".join(links)).split())) if links else 0
                 out.append(Block(text, linked, inside > 0))
+                of.append(within)
             parts.clear()
             links.clear()
 
@@ -119,8 +188,9 @@ def blocks(page: str) -> list[Block]:
             link = 0
         if m["close"]:
             if opened.get(tag):
+                flush()
                 while stack:
-                    name, was_skipped, was_inside = stack.pop()
+                    name, was_skipped, was_inside, within = stack.pop()
                     opened[name] -= 1
                     skipped -= was_skipped
                     inside -= was_inside
@@ -136,23 +206,42 @@ def blocks(page: str) -> list[Block]:
                 continue
         if tag == "p" and stack and stack[-1][0] == "p":
             opened["p"] -= 1
-            _, was_skipped, was_inside = stack.pop()
+            _, was_skipped, was_inside, within = stack.pop()
             skipped -= was_skipped
             inside -= was_inside
         main = tag in TEXT
         out_of_text = tag in SKIPPED or (tag == "header" and not inside)
-        if not out_of_text and tag not in ("html", "body") and not main and m["rest"]:
-            out_of_text = names_boilerplate(m["rest"])
-        if tag in INLINE and not out_of_text:
+        names: set[str] = set()
+        if not skipped and not out_of_text and tag not in ("html", "body") and not main and m["rest"]:
+            names = boilerplate_names(m["rest"])
+        doubted = bool(names) or (tag == "form" and not skipped)
+        if tag in INLINE and not out_of_text and not doubted:
             continue
-        if out_of_text and tag in INLINE:
+        if tag in INLINE:
             flush()
-        stack.append((tag, out_of_text, main))
+        stack.append((tag, out_of_text, main, within))
         opened[tag] = opened.get(tag, 0) + 1
         skipped += out_of_text
         inside += main
+        if doubted:
+            containers.append(Container(within, bool(names & COMMENTS)))
+            within = len(containers) - 1
+        if main and not skipped:
+            if within >= 0:
+                containers[within].own_articles += 1
+            else:
+                articles += 1
     flush()
-    return out
+    if not containers:
+        return out
+    for b, c in zip(out, of, strict=True):
+        if b.is_good():
+            if c >= 0:
+                containers[c].own += len(b.text)
+            else:
+                free += len(b.text)
+    settle(containers, free, articles)
+    return [b for b, c in zip(out, of, strict=True) if c < 0 or not containers[c].left_out]
 
 
 def label(found: list[Block]) -> None:

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from matnworks.llm import pii
+from matnworks.llm import extraction, pii
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +56,33 @@ def test_skipped_words_are_outside_of_spans_in_whole_decoding(spark, sf_dir, fie
     whole = [field.best([score[a:b]])[0] for a, b in zip(begins[:-1], begins[1:], strict=True)]
     assert sum(x.any() for x in whole) > 40
     assert all((a == b).all() for a, b in zip(whole, labels, strict=True))
+
+
+LEAD = "It was the best of times and it was the worst of times for all of the people of the town by the river."
+BODY = [f"In part {i} the quick fox is over the lazy dog and it is not the only one of them that has been there." for i in range(5)]
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in BODY)
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='site has-sidebar'>", "<div class='content with-sidebar'>", "<div class='no-comments'>",
+        "<div class='nav-open'>", "<div class='post social'>", "<section id='notice-of-appeal'>", "<form action='/'>",
+        "<div class='post social'><div class='share content'>",
+    ],
+)
+def test_wrappers_named_like_boilerplate_keep_the_article(wrapper):
+    tag = wrapper[1:].split()[0]
+    for body in (PARAGRAPHS, f"<article>{PARAGRAPHS}</article>"):
+        extra = "<div class='cookie-notice'><p>We use cookies and so do all of our partners; this is the notice of it that you have to read.</p></div>"
+        comments = f"<div id='comments'>{'<p>I think that this is the best that I have read in all of my life.</p>' * 20}</div>"
+        close = f"</{tag}>" * wrapper.count("<")
+        assert extraction.main_text(f"<body>{extra}{wrapper}{body}{comments}{close}</body>") == " ".join(BODY)
+    assert extraction.main_text(f"<body>{wrapper}<article>Short.</article></body>") == "Short."
+
+
+def test_boilerplate_containers_are_still_left_out():
+    for name in ("sidebar", "ad", "related-posts", "comments", "newsletter signup"):
+        page = f"<body><div>{PARAGRAPHS}</div><div class='{name}'><p>{LEAD}</p> <span class='ad'>x</span></div></body>"
+        assert extraction.main_text(page) == " ".join(BODY)
+    assert extraction.main_text(f"<p>{LEAD} <span class='ad'>Buy</span></p><form><p>Your name</p></form>") == LEAD
