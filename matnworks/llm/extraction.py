@@ -3,10 +3,12 @@
 A page is cut into blocks at block-level tags. Scripts, styles, navigation, page headers and footers and asides
 are left out. Forms, and containers whose class or id names an advert, menu, notice, sidebar or comments, are left
 out unless the text of the page is in them: long blocks with few links and stop words are weighed against those
-outside, and an article or main element that is nowhere else counts for the container. A block
-of an article or main element, as far as it is not mostly links, is text. The first pass decides every other
-block by its length, link density and share of stop words; short blocks stay open. The second pass gives an
-open block the label of its nearest decided neighbours, and of the nearer one where they differ.
+outside, and an article or main element that is nowhere else counts for the container.
+
+The first pass decides long blocks by length, link density and share of stop words, and any block that is mostly
+links; short blocks stay open. Article and main elements change the bars where they hold at least half of the
+good text. The second pass gives an open block the label of its nearest decided neighbours, and of the nearer one
+where they differ; in a trusted article it goes only between two that go.
 
 Character references are decoded, white space inside a block becomes one blank, and the blocks of the text are
 joined by one blank in page order. Null or empty html: empty text. Empty tables give no rows. Repeated rows are
@@ -245,20 +247,34 @@ def blocks(page: str) -> list[Block]:
 
 
 def label(found: list[Block]) -> None:
-    """Pass one decides by density and length, pass two by the nearest decided neighbours."""
-    has_text = any(b.inside for b in found)
-    for b in found:
-        density = b.linked / len(b.text)
-        words = b.text.lower().split()
-        stopped = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    """Pass one decides by density and length, pass two by the nearest decided neighbours.
+
+    Where articles hold at least half of the good text, they are trusted: their long blocks need no stop words,
+    short ones stay, unless between two that go, and text outside needs more stop words and more length, or half as
+    much good text as the articles. Elsewhere an article is a block like others.
+    """
+    good = [b.is_good() for b in found]
+    held = sum(len(b.text) for b, g in zip(found, good, strict=True) if g and b.inside)
+    apart = sum(len(b.text) for b, g in zip(found, good, strict=True) if g and not b.inside)
+    trusted = any(b.inside for b in found) and held >= apart
+    for b, g in zip(found, good, strict=True):
+        density, stopped = b.measures()
         if density > LINKED:
             b.label = False
-        elif b.inside:
-            b.label = True
-        elif has_text:
-            b.label = False
         elif len(b.text) >= LONG:
-            b.label = stopped >= STOPPED / 2 or len(b.text) >= 3 * LONG
+            if trusted and b.inside:
+                b.label = True
+            elif trusted:
+                b.label = stopped >= STOPPED and (len(b.text) >= 3 * LONG or 2 * apart >= held)
+            else:
+                b.label = g
+    regions = (True, False) if trusted else (None,)
+    for region in regions:
+        inherit([b for b in found if region is None or b.inside == region], region)
+
+
+def inherit(found: list[Block], inside: bool | None) -> None:
+    """Pass two within one region: a trusted article, what is outside of it, or the page."""
     before: list[tuple[int, bool] | None] = []
     seen = None
     for i, b in enumerate(found):
@@ -272,7 +288,9 @@ def label(found: list[Block]) -> None:
             continue
         sides = [s for s in (before[i], seen) if s]
         if not sides:
-            chosen[i] = not has_text
+            chosen[i] = inside is not False
+        elif inside:
+            chosen[i] = len(sides) < 2 or any(s[1] for s in sides)
         elif len({s[1] for s in sides}) == 1:
             chosen[i] = sides[0][1]
         else:

@@ -86,3 +86,14 @@ def test_boilerplate_containers_are_still_left_out():
         page = f"<body><div>{PARAGRAPHS}</div><div class='{name}'><p>{LEAD}</p> <span class='ad'>x</span></div></body>"
         assert extraction.main_text(page) == " ".join(BODY)
     assert extraction.main_text(f"<p>{LEAD} <span class='ad'>Buy</span></p><form><p>Your name</p></form>") == LEAD
+
+
+def test_text_outside_of_the_article_is_text():
+    cards = "".join(f"<article><h3><a href=x>Read more of this and that here</a></h3><p>Soon {i}</p></article>" for i in range(3))
+    text = extraction.main_text(f"<body><div>{PARAGRAPHS}</div><section>{cards}</section></body>")
+    assert all(x in text for x in BODY) and "Read more" not in text
+    text = extraction.main_text(f"<body><main><p>{LEAD}</p></main><div>{PARAGRAPHS}</div></body>")
+    assert text == " ".join([LEAD, *BODY])
+    short = "<p>Posted by us</p>"
+    text = extraction.main_text(f"<body>{short}<article><h1>Title</h1>{PARAGRAPHS}<p>End.</p></article><div>{short}</div></body>")
+    assert text == " ".join(["Title", *BODY, "End."])
