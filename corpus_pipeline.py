@@ -26,16 +26,31 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, or for a null id a number from the text, above the ids that tables have."""
+    of_text = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), of_text))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
-    kept = neardup.groups(docs, shingle=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more.
+
+    Of rows with one id and one text one stays.
+    """
+    rows = keyed(docs)
+    found = neardup.groups(rows.select(F.col("_key").alias("doc_id"), "text"), shingle=5, percent=80)
+    kept = rows.join(found.where("kept").select(F.col("doc_id").alias("_key")), "_key", "left_semi")
+    text = F.xxhash64("text", F.length("text"))
+    return kept.withColumn("_text", text).dropDuplicates(["_key", "_text"]).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    named = rows.select(F.col("_key").alias("doc_id"), "text")
+    found = decontamination.decontaminate(named, table(spark, sf_dir, "benchmark"), window=10)
+    gone = found.where("contaminated").select(F.col("doc_id").alias("_key"))
+    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from matnworks.llm import extraction, pii
 
 
@@ -97,3 +98,17 @@ def test_text_outside_of_the_article_is_text():
     short = "<p>Posted by us</p>"
     text = extraction.main_text(f"<body>{short}<article><h1>Title</h1>{PARAGRAPHS}<p>End.</p></article><div>{short}</div></body>")
     assert text == " ".join(["Title", *BODY, "End."])
+
+
+def test_null_and_repeated_ids_in_the_pipeline(spark, tmp_path):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b", "c")]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (7, texts[1]), (8, texts[2]), (8, texts[2]), (None, None)]
+    rows = [(i, t, "en", None, len(t or "")) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    expected = [(None, None), (None, texts[0]), (7, texts[1]), (8, texts[2])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+    item = " ".join(texts[0].split()[20:40])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([x[:2] for x in rows[2:]], key=str)
