@@ -135,6 +135,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # no match b
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Words of more than LONGEST characters are read in parts: at marks that enclose or separate, then by length.
+LONGEST = 200
+PART = re.compile(r"""[^,;"'&?{}<>()\[\]|/\\]+""")
+ANY = re.compile(".+", re.DOTALL)
 
 
 # ---------------------------------------------------------------- patterns
@@ -212,7 +216,7 @@ def numbers_of(words: list[str], cache: dict[str, list[list[int]]]) -> np.ndarra
         if word not in cache:
             if len(cache) > 100_000:
                 cache.clear()
-            names = word_features(word[:200])
+            names = word_features(word)
             cache[word] = [
                 [zlib.crc32(f"{place} {name}".encode("utf-8", "replace")) % FEATURES for name in names] for place in (0, 1, 2)
             ]
@@ -352,7 +356,7 @@ class Reader:
             if simple in self.plain:
                 found = self.words[word] = self.plain[simple]
                 return found
-        key = tuple([self.number.get(name, 0) for name in word_features(word[:200])])
+        key = tuple([self.number.get(name, 0) for name in word_features(word)])
         if key not in self.rows:
             self.rows[key] = len(self.sums)
             self.sums.append(self.weights[list(key)].sum(axis=0))
@@ -422,9 +426,23 @@ def line_starts(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def read_words(text: str, start: int, end: int) -> Iterator[re.Match]:
+    """The words between two places; of a long one, parts that cover all but its separating marks and overlap by half."""
+    for word in WORD.finditer(text, start, end):
+        if word.end() - word.start() <= LONGEST:
+            yield word
+            continue
+        for part in PART.finditer(text, word.start(), word.end()):
+            if part.end() - part.start() <= LONGEST:
+                yield part
+                continue
+            for a in range(part.start(), part.end() - LONGEST // 2, LONGEST // 2):
+                yield ANY.match(text, a, min(a + LONGEST, part.end()))
+
+
 def stretches(text: str) -> list[list[re.Match]]:
     """The words of every line that has words."""
-    return [words for start, end in line_starts(text) if (words := list(WORD.finditer(text, start, end)))]
+    return [words for start, end in line_starts(text) if (words := list(read_words(text, start, end)))]
 
 
 def added_spans(words: list[re.Match], labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -475,6 +493,9 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
             every = [list(b) for b in base]
             places = [(row, at) for row, text in enumerate(texts) for at in line_starts(text)]
             lines = [WORD.findall(texts[row], start, end) for row, (start, end) in places]
+            for i, (row, (start, end)) in enumerate(places):
+                if lines[i] and len(max(lines[i], key=len)) > LONGEST:
+                    lines[i] = [word[0] for word in read_words(texts[row], start, end)]
             places = [place for place, line in zip(places, lines, strict=True) if line]
             lines = list(filter(None, lines))
             pieces = sorted(reader.open_stretches(lines), key=lambda p: len(p[2])) if lines else []
@@ -483,10 +504,13 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
                     if not labels.any():
                         continue
                     row, (start, end) = places[line]
-                    words = list(WORD.finditer(texts[row], start, end))[low : low + len(labels)]
+                    words = list(read_words(texts[row], start, end))[low : low + len(labels)]
                     for a, kind, b in added_spans(words, labels):
-                        if not any(x < b and a < y for x, _, y in base[row]):
-                            every[row].append((a, kind, b))
+                        if any(x < b and a < y for x, _, y in base[row]):
+                            continue
+                        if every[row] and every[row][-1][1] == kind and every[row][-1][0] <= a < every[row][-1][2]:
+                            a = every[row].pop()[0]  # overlapping parts of one long word
+                        every[row].append((a, kind, b))
             counts = [[sum(k == kind for _, k, _ in b) for b in base] for kind in range(len(BASE_KINDS))]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -112,3 +112,15 @@ def test_null_and_repeated_ids_in_the_pipeline(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     clean = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([x[:2] for x in rows[2:]], key=str)
+
+
+def test_long_words_are_read_to_their_end(spark, field):
+    filler = ",".join(f'"k{chr(97 + i % 26)}":"word"' for i in range(60))
+    secret = "password=5d0b86714c62def0be"
+    texts = [f'{{{filler},"{secret}",{filler}}}', "https://example.org/" + "path/" * 60 + f"?{secret}&q=all", "x" * 450]
+    spans = found_spans(spark, field, texts)
+    assert all(("secret", secret) in x for x in spans[:2]) and not spans[2], spans
+    for text in (*texts, "ab1" * 333):
+        covered = {i for word in pii.read_words(text, 0, len(text)) for i in range(word.start(), word.end())}
+        assert all(i in covered or text[i] in ",;\"'&?{}<>()[]|/\\" for i in range(len(text)))
+        assert all(len(word[0]) <= pii.LONGEST for word in pii.read_words(text, 0, len(text)))
