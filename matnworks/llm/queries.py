@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.llm import chat, classifier, decontamination, extraction, lines, neardup, packing, passages, pii, quality
+from matnworks.llm import chat, classifier, decontamination, extraction, lines, neardup, packing, passages, pii, quality, repair
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,34 @@ def pii_random_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The damage that the contract of op12 states: five of twenty parts of the rows get one fault each."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(shown[0], F.lit(":"), shown[1]).cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    hurt = rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+    return hurt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copies", "copy")
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    reports = repair.repair(damaged(rows)).reports().withColumnRenamed("conv_id", "c")
+    found = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().join(
+        reports, F.col("conv_id").eqNullSafe(F.col("c")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
