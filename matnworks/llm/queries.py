@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matnworks.llm import chat, classifier, decontamination, extraction, lines, neardup, packing, passages, pii, quality, repair
+from matnworks.llm import (
+    alignment,
+    chat,
+    classifier,
+    decontamination,
+    extraction,
+    lines,
+    neardup,
+    packing,
+    passages,
+    pii,
+    quality,
+    repair,
+)
 from matnworks.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +189,12 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+@query("op13_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    _, ranks, pattern = tokenizer()
+    pair = alignment.Aligner(ranks, pattern, public_tokenizers.path("piece_bpe_32k.model"))
+    return pair.align(table(spark, sf_dir, "documents"))
