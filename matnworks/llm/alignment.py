@@ -41,7 +41,7 @@ from matnworks.sources import files
 
 CHUNK = 1 << 16
 FAN = 8
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 LONGEST_KEPT = 64
 BLANK = "▁"
 
