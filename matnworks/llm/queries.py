@@ -15,6 +15,7 @@ from matnworks.llm import (
     extraction,
     lines,
     neardup,
+    neighbours,
     packing,
     passages,
     pii,
@@ -191,6 +192,13 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_pruned_graph_neighbours")
+def pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    index = neighbours.build(rows, "embedding", k=5)
+    return neighbours.neighbours(index, rows.where("vec_id % 50 = 0"), "embedding", k=5)
+
+
 @query("op13_cross_tokenizer_alignment")
 def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
