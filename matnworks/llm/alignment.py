@@ -26,7 +26,8 @@ import base64
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -43,6 +44,7 @@ CHUNK = 1 << 16
 FAN = 8
 KEPT_WORDS = 100_000
 LONGEST_KEPT = 64
+SCORED_ROWS = 200
 BLANK = "▁"
 
 # A blank, not behind a blank and before a character that is surely no white space.
@@ -128,6 +130,9 @@ class Tokens:
             raise ValueError("the zero byte must be a token of its own only")
         self.zero = table[b"\0"]
         self.size_a, self.size_b = np.array([*map(len, self.a)]), np.array([*map(len, self.b)])
+        # Each id with the sign that may stand behind it: in a group, between the sides, between groups, behind a word.
+        self.shown = np.array([f"{i}{x}" for n in (len(self.a), len(self.b)) for i in range(n) for x in ",|;\n"], object)
+        self.signed = 0, 4 * len(self.a)
         self.known: dict[str, tuple | None] = {}
 
     def bound(self) -> int:
@@ -143,35 +148,56 @@ class Tokens:
         first, *rest = CUT.split(" " + text)
         return [first[1:], *rest] if first else rest
 
-    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of " " + word by both tokenizers."""
-        together = [w for w in words if "\0" not in w and not w[-1:].isspace()]
-        ids = self.plain.encode_ordinary("\0".join([" " + w for w in together]))
-        cuts = [i for i, x in enumerate(ids) if x == self.zero]
-        parts = {w: ids[i:j] for w, i, j in zip(together, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=False)}
-        left = [parts[w] if w in parts else self.plain.encode_ordinary(" " + w) for w in words]
-        return left, self.pieces.encode(words, num_threads=1)
-
-    def valid(self, data: bytes, a: list[int], b: list[int]) -> bool:
+    def left(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The byte-level ids of " " + word, one word behind the other, and their number for each word."""
+        alone = {w for w in words if "\0" in w or w[-1:].isspace()}
+        ids = np.array(self.plain.encode_ordinary("\0".join([" " + w for w in words if w not in alone])), np.int64)
+        at = np.flatnonzero(ids == self.zero)
+        if not alone:
+            return ids[ids != self.zero], np.diff(at, prepend=-1, append=len(ids)) - 1
+        joined = zip([0, *(at + 1)], [*at, len(ids)], strict=True)
+        lists = [self.plain.encode_ordinary(" " + w) if w in alone else ids[slice(*next(joined))] for w in words]
+        return np.concatenate(lists).astype(np.int64), np.array([*map(len, lists)])
+
+    def right(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of the pieces."""
+        lists = self.pieces.encode(words, num_threads=1)
+        return np.fromiter(chain.from_iterable(lists), np.int64), np.array([*map(len, lists)])
+
+    def valid(self, data: bytes, a: Iterable[int], b: Iterable[int]) -> bool:
         return b"".join(map(self.a.__getitem__, a)) == data == b"".join(map(self.b.__getitem__, b))
 
-    def entry(self, word: str, a: list[int], b: list[int]) -> tuple | None:
-        """``n_a, n_b, n_groups, groups, links`` of a word, None if its bytes are not given back."""
-        if not self.valid(b" " + word.encode(), a, b):
-            return None
-        groups, links = [], []
-        i = j = x = y = from_a = from_b = 0
-        while i < len(a):
-            x += len(self.a[a[i]])
-            i += 1
-            while y < x:
-                y += len(self.b[b[j]])
-                j += 1
-            if x == y:
-                groups.append(shown(a[from_a:i], b[from_b:j]))
-                links.append(a[i - 1] * self.width + b[j - 1])
-                from_a, from_b = i, j
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, "<i4").tobytes()
+    def learn(self, words: list[str]) -> dict[str, tuple | None]:
+        """For each word ``n_a, n_b, n_groups, groups, links``, or None if its bytes are not given back."""
+        (a, n_a), (b, n_b) = self.left(words), self.right(words)
+        data = [b" " + w.encode() for w in words]
+        size = np.cumsum([*map(len, data)])
+        stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        if not (
+            self.valid(b"".join(data), a.tolist(), b.tolist())
+            and (n_a * n_b > 0).all()
+            and (end_a[stop_a - 1] == size).all()
+            and (end_b[stop_b - 1] == size).all()
+        ):
+            parts = zip(data, np.split(a, stop_a[:-1]), np.split(b, stop_b[:-1]), strict=True)
+            fine = [self.valid(d, x.tolist(), y.tolist()) for d, x, y in parts]
+            rest = [w for w, ok in zip(words, fine, strict=True) if ok]
+            return dict.fromkeys(words) | (self.learn(rest) if rest else {})
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        cut_a, cut_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
+        last = np.searchsorted(common, size)
+        # Every token with the sign behind it, in order of (group, tokenizer).
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[cut_a], sign_b[cut_b] = 1, 2
+        sign_b[cut_b[last]] = 3
+        signed = np.concatenate([self.signed[0] + 4 * a + sign_a, self.signed[1] + 4 * b + sign_b])
+        group = np.concatenate([2 * np.searchsorted(common, end_a), 2 * np.searchsorted(common, end_b) + 1])
+        texts = "".join(self.shown[signed[np.argsort(group, kind="stable")]].tolist()).split("\n")
+        links = (a[cut_a] * self.width + b[cut_b]).astype("<i4").tobytes()
+        bounds = [0, *(last + 1).tolist()]
+        spans = [links[4 * i : 4 * j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+        return dict(zip(words, zip(n_a.tolist(), n_b.tolist(), np.diff(bounds).tolist(), texts, spans, strict=False), strict=True))
 
     def entries(self, texts: list[str]) -> Iterator[list[tuple | None]]:
         """The entries of the words of each text."""
@@ -180,10 +206,11 @@ class Tokens:
         known = self.known
         cut = [self.words(text) for text in texts]
         new = list({w for words in cut for w in words if w not in known})
-        found = dict(zip(new, map(self.entry, new, *self.encode(new)), strict=True)) if new else {}
+        found = self.learn(new) if new else {}
         known.update((w, e) for w, e in found.items() if len(w) <= LONGEST_KEPT)
+        found = {w: e for w, e in found.items() if len(w) > LONGEST_KEPT}
         for words in cut:
-            yield [found[w] if w in found else known[w] for w in words]
+            yield [known[w] if w in known else found[w] for w in words]
 
     def fragment(self, data: bytes, begin: int, start: int, stop: int) -> tuple[bool, Fragment, list[int], int, int]:
         """Of the tokens of ``data`` (from offset ``begin`` on) those that end behind ``start``, up to ``stop``."""
@@ -332,14 +359,16 @@ class Aligner:
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                links = batch.column("links")
-                at = np.searchsorted(pair, links.flatten().to_numpy())
-                bounds = np.concatenate([[0], np.cumsum(links.value_lengths().fill_null(0).to_numpy())])
-                sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)])[bounds] for x in (best, n)]
-                columns = [batch.column(c) for c in DOCUMENT_NAMES[:4]]
-                columns += [pa.array(np.diff(x), pa.int64()) for x in (bounds, *sums)]
-                columns.append(batch.column("groups_sha256"))
-                yield pa.RecordBatch.from_arrays(columns, [x.split(" ")[0] for x in ALIGNED.split(", ")])
+                for i in range(0, batch.num_rows, SCORED_ROWS):
+                    some = batch.slice(i, SCORED_ROWS)
+                    links = some.column("links")
+                    at = np.searchsorted(pair, links.flatten().to_numpy())
+                    bounds = np.concatenate([[0], np.cumsum(links.value_lengths().fill_null(0).to_numpy())])
+                    sums = [np.concatenate([[0], np.cumsum(x[at], dtype=np.int64)])[bounds] for x in (best, n)]
+                    columns = [some.column(c) for c in DOCUMENT_NAMES[:4]]
+                    columns += [pa.array(np.diff(x), pa.int64()) for x in (bounds, *sums)]
+                    columns.append(some.column("groups_sha256"))
+                    yield pa.RecordBatch.from_arrays(columns, [x.split(" ")[0] for x in ALIGNED.split(", ")])
 
         return found.mapInArrow(score, ALIGNED)
 
