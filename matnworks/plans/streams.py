@@ -15,8 +15,8 @@ from matnworks.plans.shared_sql import FEATURES as FEATURES_SQL
 from matnworks.plans.shared_sql import SCORED
 from matnworks.registry import query
 from matnworks.sources import files
-from matnworks.sources.tables import ar_documents, class_labels, document_stream, labelled
-from matnworks.streaming import ingest, scoring
+from matnworks.sources.tables import ar_documents, class_labels, document_stream, labelled, table
+from matnworks.streaming import ingest, progress, scoring, stateful
 
 NAMES = list(FEATURES)
 
@@ -65,17 +65,31 @@ LANDED = T.StructType(
         T.StructField("text", T.StringType()),
         T.StructField("label", T.IntegerType()),
         T.StructField("batch", T.LongType()),
+        T.StructField("part", T.IntegerType()),
     ]
 )
 DELIVERIES = 10
+ROWS_PER_FILE = 100_000
+
+
+def files_per_delivery(rows: int, cores: int) -> int:
+    """One file for each core where a file gets a hundred rows, and never more than ``ROWS_PER_FILE`` rows in one."""
+    each = rows // DELIVERIES
+    return max(1, -(-each // ROWS_PER_FILE), min(cores, each // 100))
 
 
 def _landed_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """All documents, with their label if they have one, delivered as ten files and read one by one."""
+    """A fixture: all documents, with their label if they have one, as files that are read in ten micro-batches.
+
+    The files of a delivery are written by as many tasks and read by as many, so no delivery is one task.
+    """
+    parts = files_per_delivery(table(spark, sf_dir, "documents").count(), spark.sparkContext.defaultParallelism)
     docs = ar_documents(spark, sf_dir).join(class_labels(spark, sf_dir), "doc_id", "left")
-    rows = docs.select("doc_id", "text", "label", F.pmod("doc_id", F.lit(DELIVERIES)).cast("long").alias("batch"))
-    rows.repartition(DELIVERIES, "batch").write.partitionBy("batch").parquet(f"{folder}/landing")
-    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+    batch = F.pmod("doc_id", F.lit(DELIVERIES)).cast("long").alias("batch")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part")
+    rows = docs.select("doc_id", "text", "label", batch, part).repartition(DELIVERIES * parts, "batch", "part")
+    rows.write.partitionBy("batch", "part").parquet(f"{folder}/landing")
+    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", parts).parquet(f"{folder}/landing")
 
 
 def _linear_stream(spark: SparkSession, sf_dir: str) -> str:
@@ -102,15 +116,17 @@ def stream_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored_rows(spark, folder).select("doc_id", "text", "label", "margin", "prediction")
 
 
-BATCHES = f"""{ALL_SCORED},
+def batches_sql(key: str) -> str:
+    """Metrics of the linear scores for each value of an expression over ``doc_id``."""
+    return f"""{ALL_SCORED},
 counts AS (
-  SELECT doc_id % {DELIVERIES} AS batch, count(label) AS n, count(*) FILTER (prediction = 0) AS predicted_human,
+  SELECT {key} AS batch, count(label) AS n, count(*) FILTER (prediction = 0) AS predicted_human,
     count(*) FILTER (prediction = 1) AS predicted_ai,
     (count(*) FILTER (label = 0 AND prediction = 0))::DOUBLE AS tn,
     (count(*) FILTER (label = 1 AND prediction = 1))::DOUBLE AS tp,
     (count(*) FILTER (label = 0 AND prediction = 1))::DOUBLE AS fp,
     (count(*) FILTER (label = 1 AND prediction = 0))::DOUBLE AS fn
-  FROM scored GROUP BY doc_id % {DELIVERIES}),
+  FROM scored GROUP BY {key}),
 batches AS (
   SELECT batch, n AS n_records, coalesce(round((tp + tn) / nullif(n, 0), 4), 0) AS accuracy,
     coalesce(round((tn + fp) / nullif(n, 0) * coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0)
@@ -120,6 +136,9 @@ batches AS (
   FROM counts)"""
 
 
+BATCHES = batches_sql(f"doc_id % {DELIVERIES}")
+
+
 @query("stream_batch_metrics", f"WITH {BATCHES} SELECT * FROM batches")
 def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.key_metrics(spark, _linear_stream(spark, sf_dir), "batch")
@@ -138,8 +157,11 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_latency")
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics with latency and throughput of each micro-batch. Wall-clock values have no oracle."""
-    return scoring.batch_metrics(spark, _linear_stream(spark, sf_dir))
+    """Metrics of each micro-batch with its latency and the parts of it. Wall-clock values have no oracle."""
+    folder = _linear_stream(spark, sf_dir)
+    times = progress.batch_times(spark, folder).withColumnRenamed("batch_id", "batch")
+    parts = times.select("batch", "source_ms", "planning_ms", "add_batch_ms", "commit_ms")
+    return scoring.batch_metrics(spark, folder).join(parts, "batch", "left")
 
 
 @query(
@@ -187,3 +209,56 @@ def stream_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(
         F.count("*").alias("scored"), F.count_if(F.expr("NOT prediction <=> CAST(in_batch AS INT)")).alias("different")
     )
+
+
+CHUNKS = 50
+
+
+@query("stream_state_metrics", f"WITH {batches_sql(f'doc_id // {DELIVERIES} % {CHUNKS}')} SELECT * FROM batches")
+def stream_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running metrics of chunks that every delivery adds to, from counts in the state of the stream."""
+    folder = files.scratch(spark, "state")
+    chunk = F.expr(f"doc_id div {DELIVERIES} % {CHUNKS}").alias("batch")
+    scored = reports.score_linear(cleaning.with_features(_landed_stream(spark, sf_dir, folder)))
+    counts = stateful.running_counts(scored.select(chunk, "label", "prediction"), "batch")
+    stateful.keep_versions(counts, folder)
+    return scoring.rounded(stateful.current(spark, folder, "batch"), "batch")
+
+
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
+@query(
+    "stream_event_windows",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+         event_type, count(*) AS n, max(value) AS max_value, count(value) AS n_values
+       FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+)
+def stream_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each hour and type from a stream with a watermark of a day."""
+    folder = files.scratch(spark, "windows")
+    # The pattern lets the table be one file or a folder; a plain stream path must be a folder.
+    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    counted = stateful.event_windows(
+        events.withColumn("ts", F.col("ts").cast("timestamp")),
+        "ts",
+        "1 hour",
+        "1 day",
+        "event_type",
+        max_value=F.max("value"),
+        n_values=F.count("value"),
+    )
+    stateful.keep_versions(counted, folder)
+    shown = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
+    rows = stateful.current(spark, folder, "window_start", "window_end", "event_type")
+    return rows.select(*shown, "event_type", "n", "max_value", "n_values")

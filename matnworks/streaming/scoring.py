@@ -3,12 +3,11 @@
 A micro-batch is scored once into its own partition of the scored table, then reduced to confusion
 counts. Both writes replace the partition of that batch id, so a batch that is repeated after a
 failure leaves one result. Counts can be added up, so metrics by batch or key come from the counts
-table and the stream keeps no state.
+table and the stream keeps no state. Latency is the engine's: from asking the source to the commit.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matnworks.operators.evaluation import confusion_matrix, metrics
+from matnworks.streaming import progress
 
 SUMMED = ("TP", "TN", "FP", "FN", "predicted_human", "predicted_ai", "n_unlabelled")
 
@@ -30,31 +30,25 @@ def score_stream(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        started = time.perf_counter()
         partition = f"batch_id={batch_id}"
         score(batch).write.mode("overwrite").parquet(f"{folder}/scored/{partition}")
-        elapsed_ms = (time.perf_counter() - started) * 1000
         rows = batch.sparkSession.read.parquet(f"{folder}/scored/{partition}")
         counts = confusion_matrix(rows, *([key] if key else []))
-        counts.withColumn("latency_ms", F.lit(elapsed_ms)).write.mode("overwrite").parquet(
-            f"{folder}/counts/{partition}"
-        )
+        counts.write.mode("overwrite").parquet(f"{folder}/counts/{partition}")
 
-    query = (
+    writer = (
         stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return progress.run(stream.sparkSession, writer, folder)
 
 
 def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/scored")
 
 
-def _rounded(counts: DataFrame, key: str) -> DataFrame:
+def rounded(counts: DataFrame, key: str) -> DataFrame:
     m = metrics()
     return counts.select(
         F.col(key).cast("bigint").alias("batch"),
@@ -70,20 +64,23 @@ def _rounded(counts: DataFrame, key: str) -> DataFrame:
 def key_metrics(spark: SparkSession, folder: str, key: str) -> DataFrame:
     """Metrics for each value of the key, however its rows were split into micro-batches."""
     counts = spark.read.parquet(f"{folder}/counts")
-    return _rounded(counts.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMMED]), key)
+    return rounded(counts.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMMED]), key)
 
 
 def batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics, latency and throughput of each micro-batch."""
+    """Metrics of each micro-batch, with its latency and the rows a second that its source delivered.
+
+    Latency is null for a batch whose driver died between its commit and the next write of times.
+    """
     counts = spark.read.parquet(f"{folder}/counts")
-    rows = F.col("predicted_human") + F.col("predicted_ai")
-    totals = (
-        counts.groupBy("batch_id")
-        .agg(*[F.sum(c).alias(c) for c in SUMMED], F.max("latency_ms").alias("latency_ms"))
-        .withColumn("throughput_rps", F.round(rows * 1000 / F.col("latency_ms"), 1))
-        .withColumn("latency_ms", F.round("latency_ms", 1))
+    totals = counts.groupBy("batch_id").agg(*[F.sum(c).alias(c) for c in SUMMED])
+    times = progress.batch_times(spark, folder).select(
+        "batch_id",
+        F.col("trigger_ms").cast("double").alias("latency_ms"),
+        F.round(F.col("input_rows") * 1000 / F.col("trigger_ms"), 1).alias("throughput_rps"),
     )
-    return _rounded(totals, "batch_id")
+    totals = totals.join(times, "batch_id", "left")
+    return rounded(totals, "batch_id")
 
 
 def stream_summary(per_batch: DataFrame) -> DataFrame:
