@@ -6,7 +6,7 @@ One pipeline is fitted on the training rows and serves batches and streams alike
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +22,7 @@ from matnworks.fixed_values import (
     TFIDF_DIMENSIONS,
     WORD2VEC_DIMENSIONS,
 )
-from matnworks.operators.evaluation import evaluation_table, roc_auc
+from matnworks.operators.evaluation import best_model, evaluation_table, roc_auc
 from matnworks.operators.profile import with_class_weight
 from matnworks.operators.split import take
 from matnworks.sources.files import materialize
@@ -65,29 +65,40 @@ def training_table(corpus: DataFrame) -> DataFrame:
     return materialize(corpus.select(*columns), "training")
 
 
-def fit_models(
-    table: DataFrame, *kinds: str, partitions: int = 16, weighted_svm: bool = False
+def dealt(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows in ``partitions`` (by default the session's shuffle partitions) by ``doc_id``, and sorted there.
+
+    A forest depends on the layout of its rows: with this, the same rows in other files give the same model.
+    """
+    number = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(number, "doc_id").sortWithinPartitions("doc_id")
+
+
+def fit_candidates(
+    table: DataFrame, candidates: dict[str, Estimator], partitions: int | None = None
 ) -> dict[str, PipelineModel]:
-    """Fit vectors and classifiers on the training split. Nothing of the other splits is seen.
+    """Fit vectors and then each classifier on the training split. Nothing of the other splits is seen.
 
-    Rows are dealt to ``partitions`` by ``doc_id`` and sorted there, since a forest depends on the layout
-    of its rows: the same rows in other files give the same model. Set it to suit the training set.
-    Class weights are counted on the stored label, so no vector is computed for them.
+    All candidates share the vectors, which are computed once and kept (on disk where memory is short) for the
+    passes of the classifiers. Class weights are counted on the stored label, so no vector is computed for them.
     """
     train = take(table, "train")
     vectors = vector_pipeline().fit(train)
     vectorized = vectors.transform(with_class_weight(train)).select("doc_id", "label", "classWeight", "features")
-    prepared = vectorized.repartition(partitions, "doc_id").sortWithinPartitions("doc_id")
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = dealt(vectorized, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {
-            kind: PipelineModel([*vectors.stages, classifier(kind, weighted_svm).fit(prepared)])
-            for kind in kinds
-        }
+        return {name: PipelineModel([*vectors.stages, c.fit(prepared)]) for name, c in candidates.items()}
     finally:
         prepared.unpersist()
 
 
+def fit_models(
+    table: DataFrame, *kinds: str, partitions: int | None = None, weighted_svm: bool = False
+) -> dict[str, PipelineModel]:
+    """The classifiers ``kinds`` with their fixed parameters."""
+    return fit_candidates(table, {kind: classifier(kind, weighted_svm) for kind in kinds}, partitions)
+
+
 def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``doc_id, label, prediction, score``; the score is the raw value of class 1."""
     return model.transform(df).select(
@@ -112,29 +123,87 @@ def evaluate_model(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     return evaluation_table(scored).select(F.lit(name).alias("model"), "*", auc.alias("auc"))
 
 
-def _rows(df: DataFrame, values, schema: str) -> DataFrame:
-    names = list(FEATURES)
-    return df.sparkSession.createDataFrame(
-        [(name, float(values[TFIDF_DIMENSIONS + i])) for i, name in enumerate(names)], schema
+def _own_columns(model: Model, number: int) -> Model:
+    """A copy whose outputs have names of their own, so that several models can score one frame."""
+    own = model.copy()
+    for name in ("prediction", "rawPrediction", "probability"):
+        if own.hasParam(f"{name}Col"):
+            own.set(own.getParam(f"{name}Col"), f"{name}_{number}")
+    return own
+
+
+def predictions_of_all(fitted: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """``model, doc_id, label, prediction, score`` of models with shared vectors, which are computed once."""
+    first, *others = fitted.values()
+    if any(m.stages[:-1] != first.stages[:-1] for m in others):
+        raise ValueError("the models were not fitted on the same vectors")
+    out = PipelineModel(first.stages[:-1]).transform(df).select("doc_id", "label", "features")
+    rows = []
+    for number, (name, model) in enumerate(fitted.items()):
+        out = _own_columns(model.stages[-1], number).transform(out)
+        score = vector_to_array(f"rawPrediction_{number}")[1].alias("score")
+        rows.append(F.struct(F.lit(name).alias("model"), F.col(f"prediction_{number}").alias("prediction"), score))
+    return out.select("doc_id", "label", F.explode(F.array(*rows)).alias("m")).select(
+        "m.model", "doc_id", "label", "m.prediction", "m.score"
     )
 
 
+def evaluate_models(fitted: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """The row of ``evaluate_model`` for each model; all score the rows in one pass."""
+    scored = materialize(predictions_of_all(fitted, df), "predictions")
+    aucs = [
+        roc_auc(scored.where(F.col("model") == name), "score").select(F.lit(name).alias("model"), "auc") for name in fitted
+    ]
+    auc = aucs[0]
+    for one in aucs[1:]:
+        auc = auc.unionByName(one)
+    # As many rows as there are models.
+    return evaluation_table(scored, "model").join(F.broadcast(auc), "model")
+
+
+def select_model(
+    table: DataFrame, candidates: dict[str, Estimator], partitions: int | None = None
+) -> tuple[DataFrame, PipelineModel]:
+    """Metrics of every candidate on the validation split, with ``chosen``, and the chosen model.
+
+    The candidates are fitted on the training split; the highest F1 wins, ties go to the first name. The test
+    split is not looked at, so it still measures the chosen model.
+    """
+    fitted = fit_candidates(table, candidates, partitions)
+    results = materialize(evaluate_models(fitted, take(table, "val")), "selection")
+    best = best_model(results).first()["model"] if not results.isEmpty() else min(fitted)
+    return results.withColumn("chosen", F.col("model") == best), fitted[best]
+
+
+def feature_slots(model: PipelineModel, df: DataFrame) -> dict[str, int]:
+    """Slot of each named input in the vector, as the assembler states it in the attributes of its column."""
+    schema = PipelineModel(model.stages[:-1]).transform(df.limit(0)).schema
+    attributes = schema["features"].metadata["ml_attr"]["attrs"]
+    return {a["name"]: a["idx"] for kind in attributes.values() for a in kind if "name" in a}
+
+
+def _rows(df: DataFrame, model: PipelineModel, values, schema: str) -> DataFrame:
+    slots = feature_slots(model, df)
+    return df.sparkSession.createDataFrame([(name, float(values[slots[name]])) for name in FEATURES], schema)
+
+
 def feature_importance(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Forest importance of the five features, which follow the TF-IDF slots."""
-    return _rows(df, model.stages[-1].featureImportances, "feature string, importance double")
+    """Forest importance of the five features; ``df`` has the columns that the model reads."""
+    return _rows(df, model, model.stages[-1].featureImportances, "feature string, importance double")
 
 
 def lr_coefficients(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Coefficients of the five features by absolute value."""
-    rows = _rows(df, model.stages[-1].coefficients, "feature string, cofficient double")
+    """Coefficients of the five features by absolute value; ``df`` has the columns that the model reads."""
+    rows = _rows(df, model, model.stages[-1].coefficients, "feature string, cofficient double")
     return rows.withColumn("abs_coef", F.abs("cofficient")).orderBy(F.desc("abs_coef"))
 
 
-def word2vec(df: DataFrame, min_count: int = 5, slots: int = 1 << 16, partitions: int = 8) -> DataFrame:
+def word2vec(df: DataFrame, min_count: int = 5, slots: int = 1 << 16, partitions: int | None = None) -> DataFrame:
     """``doc_id, vector``: mean word vector of each document.
 
     MLlib keeps the vocabulary on the driver, so words are hashed to ``slots`` numbers, as TF-IDF hashes
-    them; the model has the same size and the same rules whatever the corpus.
+    them; the model has the same size and the same rules whatever the corpus. It is fitted in ``partitions`` parts,
+    by default the session's shuffle partitions, and their vectors are averaged.
     """
     slot = lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("string")
     hashed = F.transform(F.filter(F.split("clean_text", " "), lambda w: w != ""), slot)
@@ -142,7 +211,7 @@ def word2vec(df: DataFrame, min_count: int = 5, slots: int = 1 << 16, partitions
     model = Word2Vec(
         vectorSize=WORD2VEC_DIMENSIONS,
         minCount=min_count,
-        numPartitions=partitions,
+        numPartitions=partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
         seed=42,
         inputCol="tokens",
         outputCol="vector",

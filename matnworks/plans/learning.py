@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +36,8 @@ def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _evaluated(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     table = models.training_table(training_corpus(spark, sf_dir))
-    test = split.take(table, "test")
-    rows = [
-        models.evaluate_model(model, test, MODEL_NAMES[kind])
-        for kind, model in models.fit_models(table, *kinds).items()
-    ]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
+    fitted = {MODEL_NAMES[kind]: model for kind, model in models.fit_models(table, *kinds).items()}
+    return models.evaluate_models(fitted, split.take(table, "test"))
 
 
 @query("train_lr")
@@ -89,6 +82,57 @@ def model_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def candidates() -> dict[str, Estimator]:
+    """A small grid around the fixed parameters of the linear models."""
+    out = {}
+    for kind, weights in (("lr", (0.001, 0.01, 0.1)), ("svm", (0.0005, 0.005, 0.05))):
+        for weight in weights:
+            one = models.classifier(kind)
+            out[f"{MODEL_NAMES[kind]} regParam={weight}"] = one.copy({one.getParam("regParam"): weight})
+    return out
+
+
+def _selected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, PipelineModel]:
+    table = models.training_table(training_corpus(spark, sf_dir))
+    return table, *models.select_model(table, candidates())
+
+
+@query("model_selection")
+def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates on the validation split, and which one is chosen."""
+    return _selected(spark, sf_dir)[1]
+
+
+VAL_ROWS = f"""WITH {CORPUS}, val AS (SELECT * FROM corpus WHERE {BUCKET} >= 70 AND {BUCKET} < 85)"""
+
+
+@query(
+    "model_selection_rows",
+    f"""{VAL_ROWS} SELECT 6::BIGINT AS candidates, 1::BIGINT AS chosen, 0::BIGINT AS better, 6 * count(*) AS val_rows,
+          6 * count(*) FILTER (label = 0) AS actual_human, 6 * count(*) FILTER (label = 1) AS actual_ai FROM val""",
+)
+def model_selection_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the selection says about the validation split, and whether a candidate beats the chosen one."""
+    results = model_selection(spark, sf_dir)
+    best, mine = F.max("f1"), F.max(F.when(F.col("chosen"), F.col("f1")))
+    return results.agg(
+        F.count("*").alias("candidates"),
+        F.count_if("chosen").alias("chosen"),
+        (best > mine).cast("bigint").alias("better"),
+        F.sum(F.expr("TP + TN + FP + FN")).alias("val_rows"),
+        F.sum(F.expr("TN + FP")).alias("actual_human"),
+        F.sum(F.expr("TP + FN")).alias("actual_ai"),
+    )
+
+
+@query("selected_model")
+def selected_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen model on the test split, which the selection did not see."""
+    table, results, model = _selected(spark, sf_dir)
+    name = results.where("chosen").first()["model"]
+    return models.evaluate_models({name: model}, split.take(table, "test"))
+
+
 @query("model_errors")
 def model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five misclassified documents of the test split, by the logistic model."""
@@ -101,10 +145,11 @@ def model_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Precision, recall and F1 by class of each model on the test split."""
     table = models.training_table(training_corpus(spark, sf_dir))
-    test = split.take(table, "test")
+    fitted = {MODEL_NAMES[kind]: model for kind, model in models.fit_models(table, "lr", "rf", "svm").items()}
+    scored = files.materialize(models.predictions_of_all(fitted, split.take(table, "test")), "predictions")
     rows = [
-        evaluation.evaluate_per_class(models.predictions(model, test)).select(F.lit(MODEL_NAMES[kind]).alias("model"), "*")
-        for kind, model in models.fit_models(table, "lr", "rf", "svm").items()
+        evaluation.evaluate_per_class(scored.where(F.col("model") == name)).select(F.lit(name).alias("model"), "*")
+        for name in fitted
     ]
     return reduce(DataFrame.unionByName, rows)
 

@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from matnworks.fixed_values import FEATURES, TFIDF_DIMENSIONS
 from matnworks.operators import cleaning, evaluation, models, profile, split
+from matnworks.plans import learning
 from matnworks.plans.learning import prepared_documents, training_corpus
 
+FEATURES_LIST = list(FEATURES)
+
 
 @pytest.fixture(scope="module")
 def table(spark, sf_dir):
@@ -126,3 +129,55 @@ def test_clean_text_is_derived_only_if_absent(spark):
     df = spark.createDataFrame([("الكتاب", "mine")], "text string, clean_text string")
     assert cleaning.with_clean_text(df).first().clean_text == "mine"
     assert cleaning.with_clean_text(df.drop("clean_text")).first().clean_text == "كتاب"
+
+
+def test_all_models_are_scored_in_one_pass_as_each_by_itself(table, fitted):
+    test = split.take(table, "test")
+    together = models.predictions_of_all(fitted, test)
+    assert _plan(together).count("UDF(UDF(UDF(clean_text") == 1
+    found = {name: [] for name in fitted}
+    for r in together.collect():
+        found[r.model].append(tuple(r)[1:])
+    for name, model in fitted.items():
+        assert sorted(found[name]) == sorted(map(tuple, models.predictions(model, test).collect()))
+    rows = {r.model: r for r in models.evaluate_models(fitted, test).collect()}
+    for name, model in fitted.items():
+        one = models.evaluate_model(model, test, name).first()
+        assert all(rows[name][c] == pytest.approx(one[c], abs=1e-12) for c in one.asDict() if c != "model")
+    other = models.fit_models(table, "svm")["svm"]
+    with pytest.raises(ValueError, match="same vectors"):
+        models.predictions_of_all({"a": fitted["lr"], "b": other}, test)
+
+
+def test_selection_on_the_validation_rows(table):
+    candidates = {k: v for k, v in learning.candidates().items() if k.startswith("Logistic") or "lr" in k.lower()}
+    assert len(candidates) == 3
+    results, best = models.select_model(table, candidates)
+    rows = {r.model: r for r in results.collect()}
+    assert rows.keys() == candidates.keys() and sum(r.chosen for r in rows.values()) == 1
+    chosen = next(r for r in rows.values() if r.chosen)
+    assert chosen.model == min(rows, key=lambda name: (-rows[name].f1, name))
+    val = split.take(table, "val")
+    direct = evaluation.evaluation_table(models.predictions(best, val)).first()
+    assert all(chosen[c] == pytest.approx(direct[c], abs=1e-12) for c in direct.asDict())
+    assert chosen.TP + chosen.TN + chosen.FP + chosen.FN == val.count()
+    assert f"regParam={best.stages[-1].getRegParam()}" in chosen.model
+
+
+def test_names_come_from_the_assembler(table, fitted):
+    stages = [s.copy() for s in fitted["lr"].stages]
+    assembler = stages[-2]
+    assert models.feature_slots(fitted["lr"], table)[FEATURES_LIST[0]] == TFIDF_DIMENSIONS
+    assembler.setInputCols([*FEATURES_LIST[::-1], "tfidf"])
+    turned = PipelineModel(stages)
+    slots = models.feature_slots(turned, table)
+    assert [slots[name] for name in FEATURES_LIST] == [4, 3, 2, 1, 0]
+    out = {r.feature: r.cofficient for r in models.lr_coefficients(table, turned).collect()}
+    weights = stages[-1].coefficients
+    assert out == {name: float(weights[4 - i]) for i, name in enumerate(FEATURES_LIST)}
+
+
+def test_training_uses_the_partitions_of_the_session(spark, table, shuffle_partitions):
+    shuffle_partitions(5)
+    assert models.dealt(table).rdd.getNumPartitions() == 5
+    assert models.dealt(table, 3).rdd.getNumPartitions() == 3
