@@ -12,8 +12,10 @@ many shingles that a prefix of each, shingles rare in the star first, has one in
 leave room for the overlap. Pairs of such members from different components are compared in turn. So every
 link between texts that meet in a band is found, and a bucket is never expanded into all its pairs.
 
-Null or empty text: an empty set, linked with nothing, kept. Empty tables give no rows. Repeated rows are
-repeated in the result. Columns other than ``doc_id`` and ``text`` are ignored.
+Classes are known by the digest of their set until the end, so ids decide nothing but the names of groups. Null or
+empty text: an empty set, linked with nothing, kept. Empty tables give no rows. Repeated rows are repeated in the
+result. One id with several texts: each row is linked by its own text. A row without id takes part; its group has
+the smallest id in it, or none if no row has one. Columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -27,17 +29,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matnworks.llm.components import components
+from matnworks.llm.rows import row_key
 from matnworks.llm.words import Texts, mix, rolling, slices
 from matnworks.sources import files
 
 BANDS = 36
 ROWS = 6
 
-SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
-SETS = "doc_id long, shingles array<long>"
-STARS = "c long, x long, n_c long, n_x long, linked boolean, apart array<long>"
-
-
+SIGNED = "doc_id long, row binary, n_shingles long, digest binary, bands array<long>"
+SETS = "x binary, shingles array<long>"
+STARS = "c binary, x binary, n_c long, n_x long, linked boolean, apart array<long>"
 
 def super_minhash(hashes: np.ndarray, rows: np.ndarray, count: int, slots: int) -> np.ndarray:
     """Signatures of ``count`` rows; ``hashes`` are elements and ``rows`` their rows, in order."""
@@ -103,28 +104,31 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(counts, pa.int64()),
                     pa.array([hashlib.blake2b(d, digest_size=16).digest() for d in data], pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(texts.rows + 1) * BANDS, pa.int32()), pa.array(keys.ravel())
                     ),
                 ],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                ["doc_id", "row", "n_shingles", "digest", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
+    return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(run, SIGNED)
+
 
+def shingle_sets(texts_of: DataFrame, size: int) -> DataFrame:
+    """The set of each class ``x``, from a ``text`` of it; repeated rows give it once."""
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = Texts(batch.column(1))
             hashes, rows = shingles(texts, size)
             bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=texts.rows))])
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["x", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return texts_of.select("x", "text").mapInArrow(run, SETS).dropDuplicates(["x"])
 
 
 def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,14 +142,14 @@ def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 apart = np.setxor1d(a, b, assume_unique=True)
                 linked = (100 + percent) * len(apart) <= (100 - percent) * (len(a) + len(b))
                 out.append((c.as_py(), x.as_py(), len(a), len(b), linked, apart))
-            types = [*[pa.int64()] * 4, pa.bool_(), pa.list_(pa.int64())]
+            types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
             names = ["c", "x", "n_c", "n_x", "linked", "apart"]
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    sets = sets.dropDuplicates(["doc_id"])  # repeated rows
-    of_x = sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
-    of_c = sets.select(F.col("doc_id").alias("c"), F.col("shingles").alias("sc"))
+    # Both sides are plain scans, so a centre with many members can be split between tasks.
+    of_x = sets.select("x", F.col("shingles").alias("sx"))
+    of_c = sets.select(F.col("x").alias("c"), F.col("shingles").alias("sc"))
     return pairs.join(of_x, "x").join(of_c, "c").select("c", "x", "sc", "sx").mapInArrow(run, STARS)
 
 
@@ -196,20 +200,23 @@ def further_pairs(compared: DataFrame, labels: DataFrame, percent: int) -> DataF
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id, n_shingles, component_id, kept, stays, row`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Documents are linked if their sets of ``shingle``-word shingles have a Jaccard similarity of at least
-    ``percent`` per cent; the smallest ``doc_id`` of a component stays.
+    ``percent`` per cent; the smallest ``doc_id`` of a component is its name and ``kept``. ``stays`` holds for one
+    pair of id and text of each component (also where ids repeat or are missing); ``row`` is the key of the pair.
     """
     marked = files.materialize(signed(docs, shingle), "signatures")
-    classes = marked.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("x"), F.any_value("bands").alias("bands")
+    named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    classes = marked.where("n_shingles > 0").groupBy(F.col("digest").alias("x")).agg(
+        F.min(named).alias("first"), F.any_value("bands").alias("bands")
     )
     classes = files.materialize(classes, "classes")
     pairs = files.materialize(bucket_stars(classes.select("x", F.explode("bands").alias("bucket"))), "pairs")
-    ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("c")).distinct()
-    # The ids grow with the corpus, so the join is planned alike at every size.
-    texts = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id")
+    met = pairs.select("x").union(pairs.select("c")).distinct()
+    wanted = classes.select("x", F.col("first.row").alias("row")).join(met, "x")
+    # The keys grow with the corpus, so the join is planned alike at every size.
+    texts = docs.select(row_key().alias("row"), "text").join(wanted.hint("merge"), "row")
     sets = files.materialize(shingle_sets(texts, shingle), "sets")
     compared = files.materialize(stars(pairs, sets, percent), "stars")
     labels = components(compared.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")))
@@ -218,10 +225,19 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     links = files.materialize(links, "links")
     if not links.isEmpty():
         labels = components(links.union(labels.select("node", "component")))
-    of_class = classes.select("digest", "x").join(labels.withColumnRenamed("node", "x"), "x", "left")
-    of_class = of_class.select("digest", F.coalesce("component", "x").alias("component"))
-    found = marked.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-    component = F.coalesce("component", "doc_id")
+    linked = labels.select(F.col("node").alias("x"), "component").join(classes.select("x", "first"), "x")
+    firsts = linked.groupBy("component").agg(F.min("first").alias("of_all"))
+    firsts = linked.join(firsts, "component").select("x", "of_all")
+    of_class = classes.select("x", "first").join(firsts, "x", "left")
+    of_class = of_class.select(F.col("x").alias("digest"), F.coalesce("of_all", "first").alias("first"))
+    found = marked.select("doc_id", "row", "n_shingles", "digest").join(of_class, "digest", "left")
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    stays = F.col("first").isNull() | (F.col("first.row") == F.col("row"))
     return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, stays).alias("kept"),
+        stays.alias("stays"),
+        "row",
     )

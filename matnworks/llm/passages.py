@@ -7,13 +7,14 @@ confirmed: their text is read from the first document that has them, and for eac
 document is determined among all phrases of the anchor. Documents are then dealt into blocks, every block
 receives the phrases that may occur in it, compiles them into Aho-Corasick automata of bounded size, and
 streams its documents through them. A located phrase removes the words of those of its windows that start
-in an earlier document. The automata compare words, not hashes.
+in an earlier document. The automata compare words; which windows of one anchor are equal is told by 64-bit hashes.
 
 An anchor, a phrase or a group of copies may hold any share of the documents: they are combined before each
 shuffle, and a block receives a phrase once.
 
-Null text: no words. Empty tables give no rows. Repeated rows (one ``doc_id``) are one document; their words
-are judged alike. Columns other than ``doc_id`` and ``text`` are ignored.
+Null text: no words. Empty tables give no rows. Rows with one ``doc_id`` are one document: no text of it is earlier
+than another. A row without id is behind all ids: it loses what occurs in a document that has one, and no other
+row loses anything to it. Columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ from matnworks.sources import files
 WINDOW = 50
 GRAM = 10
 SHARD_WORDS = 400_000
+BLOCK_BYTES = 32 << 20
 ALPHABET = [chr(code) for code in range(48, 112)]
 
-ANCHORS = "doc_id long, anchor long, phrase long, at int, windows int"
+ANCHORS = "doc_id long, block int, anchor long, phrase long, at int, windows int"
 PHRASES = "anchor long, phrase long, first long, windows int, several boolean, text binary, hashes array<long>"
 KEPT = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start: int, end: int>>"
 SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -58,15 +60,16 @@ def anchors(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(of)),
+                    batch.column(2).take(pa.array(of)),
                     pa.array(least[start].view(np.int64)),
                     pa.array(spans(words, start, start + count + WINDOW - 1).view(np.int64)),
                     pa.array(start - texts.first[of], pa.int32()),
                     pa.array(count, pa.int32()),
                 ],
-                ["doc_id", "anchor", "phrase", "at", "windows"],
+                ["doc_id", "block", "anchor", "phrase", "at", "windows"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, ANCHORS)
+    return docs.select("doc_id", "text", "block").mapInArrow(run, ANCHORS)
 
 
 def phrase_texts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -76,10 +79,17 @@ def phrase_texts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
         for batch in slices(batches):
             out: list[tuple] = []
             texts = Texts(batch.column(1))
-            hashes = rolling(texts.word_hashes(), WINDOW).view(np.int64)
+            values = texts.word_hashes()
+            hashes = rolling(values, WINDOW).view(np.int64)
             for row, (doc_id, marks) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 words, base = texts.raw(row).split(), texts.first[row]
-                for m in marks:
+                ends = [base + m["at"] + m["windows"] + WINDOW - 1 for m in marks]
+                fits = [m for m, end in zip(marks, ends, strict=True) if end <= texts.first[row + 1]]
+                begins = base + np.array([m["at"] for m in fits], np.int64)
+                own = spans(values, begins, begins + [m["windows"] + WINDOW - 1 for m in fits]) if fits else []
+                for m, value in zip(fits, np.asarray(own, np.uint64).view(np.int64).tolist(), strict=True):
+                    if value != m["phrase"]:
+                        continue  # another text of the same id
                     at, n = m["at"], m["windows"]
                     text = b" ".join(words[at : at + n + WINDOW - 1])
                     own = hashes[base + at : base + at + n].tolist() if m["several"] else None
@@ -146,6 +156,7 @@ def automata(phrases: pa.Table) -> Iterator[Automaton]:
 def locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     """Remove from each document of a block the windows that start in an earlier document."""
     ids, texts = docs.column("doc_id").to_pylist(), docs.column("text")
+    order = [2**64 if i is None else i for i in ids]
     cover: dict[int, np.ndarray] = {}
     for machine in automata(phrases):
         for row, text in enumerate(texts):
@@ -153,10 +164,10 @@ def locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
             if len(words) < WINDOW:
                 continue
             for start, length, first, earlier in machine.occurrences(words):
-                if first < ids[row]:
+                if first < order[row]:
                     ranges = [(start, start + length)]
                 else:
-                    ranges = [(start + at, start + at + WINDOW) for at, other in earlier if other < ids[row]]
+                    ranges = [(start + at, start + at + WINDOW) for at, other in earlier if other < order[row]]
                 if ranges and row not in cover:
                     cover[row] = np.zeros(len(words) + 1, np.int32)
                 for a, b in ranges:
@@ -179,17 +190,29 @@ def locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def block_count(docs: DataFrame) -> int:
+    """Blocks of about ``BLOCK_BYTES`` of text, and no fewer than the session's shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+
+
 def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text, removed`` (word ranges) for each row of ``docs``.
 
-    ``blocks`` is the number of document blocks, each of which is handled in memory by one task; it defaults
-    to the session's number of shuffle partitions, which is set to suit the size of the data.
+    ``blocks`` is the number of document blocks, each of which is handled in memory by one task; by default it
+    follows from the measured size of the texts, so that a block does not grow with the corpus.
     """
-    blocks = blocks or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks or block_count(docs)
+    # Rows without id are dealt by their text.
+    place = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    docs = docs.select("doc_id", "text", F.pmod(place, F.lit(blocks)).cast("int").alias("block"))
     found = files.materialize(anchors(docs), "anchors")
-    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    found = files.materialize(found.join(shared.where("low < high").select("anchor"), "anchor"), "recurring")
-    firsts = found.groupBy("anchor", "phrase").agg(
+    shared = found.groupBy("anchor").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")
+    )
+    shared = shared.where("low < high OR (low IS NOT NULL AND unnamed > 0)").select("anchor")
+    found = files.materialize(found.join(shared, "anchor"), "recurring")
+    firsts = found.where("doc_id IS NOT NULL").groupBy("anchor", "phrase").agg(
         F.min(F.struct("doc_id", "at")).alias("place"), F.first("windows").alias("windows")
     )
     firsts = firsts.select("anchor", "phrase", F.col("place.doc_id").alias("first"), "place.at", "windows")
@@ -198,18 +221,18 @@ def deduplicate(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     phrases = files.materialize(phrase_texts(docs, firsts.join(several, "anchor")), "phrases")
 
     windows = phrases.where("several").select("anchor", "phrase", "first", F.posexplode("hashes").alias("at", "window"))
-    starts = windows.groupBy("anchor", "window").agg(F.min("first").alias("other"))
+    # Written, so that the join has plain scans on both sides and a frequent window is split between tasks.
+    starts = files.materialize(windows.groupBy("anchor", "window").agg(F.min("first").alias("other")), "starts")
     earlier = windows.join(starts, ["anchor", "window"]).where("other < first")
     earlier = earlier.groupBy("anchor", "phrase").agg(
         F.collect_list(F.struct("at", F.col("other").alias("first"))).alias("earlier")
     )
     earlier = files.materialize(earlier, "earlier")
 
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
     known = firsts.select("anchor", "phrase", "first").join(earlier, ["anchor", "phrase"], "left")
-    wanted = found.select("anchor", "phrase", "doc_id").join(known, ["anchor", "phrase"])
-    wanted = wanted.where("doc_id > first OR earlier IS NOT NULL").select("anchor", "phrase", block).distinct()
+    wanted = found.select("anchor", "phrase", "doc_id", "block").join(known, ["anchor", "phrase"], "left")
+    wanted = wanted.where("doc_id IS NULL OR doc_id > first OR earlier IS NOT NULL").select("anchor", "phrase", "block").distinct()
     dealt = wanted.join(phrases.select("anchor", "phrase", "first", "text"), ["anchor", "phrase"])
-    left = docs.select("doc_id", "text", block)
+    left = docs.select("doc_id", "text", "block")
     right = dealt.join(earlier, ["anchor", "phrase"], "left").select("block", "first", "text", "earlier")
     return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(locate, KEPT)

@@ -5,6 +5,10 @@ the text's characters inside marked n-grams, and inside repeated lines, decides.
 linear in the text: a longer n-gram can only repeat where a shorter one does, so only the shortest length
 is sorted over all positions.
 
+Words in a repeated long n-gram stand in repeated shorter ones too, so the shares fall with the length, and so do
+the limits: a long repeat is rarer than a phrase that recurs and weighs more. The share of lines counts repetitions
+alone, not the first line. ``symbol_heavy`` is a further column and no part of the verdict.
+
 Null text: no words, rejected. Empty tables give no rows. Repeated rows are judged one by one, each on its
 own text. Columns of other names than ``doc_id`` and ``text`` are ignored by ``measure`` and kept by ``keep``.
 """
@@ -30,14 +34,14 @@ class Rules:
 
     min_words: int = 50
     max_repeat_words: int = 50
-    max_symbols: int = 20
-    max_line_chars: int = 30
-    max_gram_chars: dict[int, int] = field(default_factory=lambda: {3: 50, 5: 50, 8: 50, 12: 50})
+    max_line_chars: int = 20
+    max_gram_chars: dict[int, int] = field(default_factory=lambda: {3: 40, 5: 36, 8: 32, 12: 28})
+    many_symbols: int = 20
 
 
 MEASURES = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, kept boolean, dup_line_chars long, dup_gram_chars array<long>"
+    "base_failed boolean, kept boolean, dup_line_chars long, dup_gram_chars array<long>, symbol_heavy boolean"
 )
 
 
@@ -121,8 +125,7 @@ def verdict(m: dict[str, np.ndarray], rules: Rules) -> tuple[np.ndarray, np.ndar
     limits = np.array([rules.max_gram_chars[n] for n in sorted(rules.max_gram_chars)])
     repeats = (100 * m["dup_gram_chars"] > limits * m["word_chars"][:, None]).any(axis=1)
     lines = 100 * m["dup_line_chars"] > rules.max_line_chars * m["word_chars"]
-    symbols = 100 * m["n_symbols"] > rules.max_symbols * m["n_words"]
-    return failed, ~(failed | repeats | lines | symbols)
+    return failed, ~(failed | repeats | lines)
 
 
 def measure(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -139,6 +142,7 @@ def measure(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 | {k: m[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
                 | {"base_failed": m["base_failed"], "kept": m["kept"], "dup_line_chars": m["dup_line_chars"]}
                 | {"dup_gram_chars": pa.array(list(grams), pa.list_(pa.int64()))}
+                | {"symbol_heavy": 100 * m["n_symbols"] > rules.many_symbols * m["n_words"]}
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, MEASURES)

@@ -63,7 +63,8 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(table(spark, sf_dir, "documents"), shingle=4)
+    found = neardup.groups(table(spark, sf_dir, "documents"), shingle=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op1_substring_dedup")
@@ -103,17 +104,19 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
-LINE_SQL = r"""
+WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINE_SQL = rf"""
 WITH l AS (
     SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
     FROM documents WHERE text IS NOT NULL),
-counts AS (SELECT source, trim(line, ' ') AS k, count(DISTINCT text) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY 1, 2),
+bare AS (SELECT *, trim(line, {WHITE_SQL}) AS b FROM l),
+counts AS (SELECT source, b AS k, count(DISTINCT text) AS n FROM bare WHERE b <> '' GROUP BY 1, 2),
 totals AS (SELECT source, count(DISTINCT text) AS total FROM documents WHERE text IS NOT NULL GROUP BY 1),
-bad AS (SELECT c.source, k FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 5 AND n > 0.1 * total),
+bad AS (SELECT c.source, k FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 2 AND n > 0.1 * total),
 kept AS (
-    SELECT doc_id, count(*) FILTER (trim(line, ' ') <> '') AS n_lines,
+    SELECT doc_id, count(*) FILTER (b <> '') AS n_lines,
         count(*) FILTER (k IS NOT NULL) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (k IS NULL) AS text
-    FROM l LEFT JOIN bad ON l.source IS NOT DISTINCT FROM bad.source AND trim(line, ' ') = k GROUP BY doc_id)
+    FROM bare LEFT JOIN bad ON bare.source IS NOT DISTINCT FROM bad.source AND b = k GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
     CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id)

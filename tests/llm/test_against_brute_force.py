@@ -210,12 +210,12 @@ def test_decontamination(spark, docs, empty):
 
 def test_line_dedup(docs, empty):
     pages = {i: (None if i % 9 == 0 else f"src{i % 2}", t) for i, t in ROWS if t is not None}
-    cut = lambda t: [x.strip(" ") for x in t.split("\n") if x.strip(" ")]
+    cut = lambda t: [x.strip(lines.WHITE) for x in t.split("\n") if x.strip(lines.WHITE)]
     expected = {i: (0, 0, None) for i, t in ROWS if t is None}
     for i, (host, text) in pages.items():
         own = {t for h, t in pages.values() if h == host}
-        bad = {x for t in own for x in cut(t) if sum(x in cut(o) for o in own) > max(4, 0.1 * len(own))}
-        kept = [x for x in text.split("\n") if x.strip(" ") not in bad]
+        bad = {x for t in own for x in cut(t) if sum(x in cut(o) for o in own) > max(1, 0.1 * len(own))}
+        kept = [x for x in text.split("\n") if x.strip(lines.WHITE) not in bad]
         expected[i] = (len(cut(text)), len(cut(text)) - len(cut("\n".join(kept))), "\n".join(kept))
     out = lines.drop_boilerplate(docs)
     assert by_id(out, "n_lines", "n_dropped", "text") == expected
@@ -250,7 +250,7 @@ def check_packing(rows, texts):
 
 def test_packing(docs, empty):
     sequences, tokens = check_packing(packing.pack(docs, *queries.tokenizer()).collect(), ROWS)
-    assert sequences <= 1.05 * tokens / 1024 + 1  # few pieces leave room
+    assert sequences <= 1.05 * tokens / 1024 + 1  # few pieces leave room; see test_review_r02 for exact bounds
     assert packing.pack(empty, *queries.tokenizer()).count() == 0
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline
+from matnworks.llm.lines import WHITE
 from test_against_brute_force import LOW, ROWS, check_packing, words
 
 WANTED = ["quality rules", "line dedup", "near dedup", "decontamination", "packing"]
@@ -21,8 +22,7 @@ def folder(spark, tmp_path_factory):
     return path, item
 
 
-def share(marked, total):
-    return 100 * marked > 50 * total
+LIMITS = {3: 40, 5: 36, 8: 32, 12: 28}
 
 
 def kept_by_quality(text):
@@ -40,19 +40,18 @@ def kept_by_quality(text):
     for line in (text or "").split("\n"):
         repeated += sum(map(len, words(line))) if line in seen else 0
         seen.add(line)
-    bad = len(w) < 50 or 100 * len(covered(3)) > 50 * len(w) or 100 * repeated > 30 * chars
-    bad |= any(share(sum(len(w[p]) for p in covered(n)), chars) for n in (3, 5, 8, 12))
-    return not bad and 100 * len(re.findall(r"[#*$%&|<>]", text)) <= 20 * len(w)
+    bad = len(w) < 50 or 100 * len(covered(3)) > 50 * len(w) or 100 * repeated > 20 * chars
+    return not bad and all(100 * sum(len(w[p]) for p in covered(n)) <= limit * chars for n, limit in LIMITS.items())
 
 
 def plain_pipeline(item):
     docs = {i: t for i, t in ROWS if kept_by_quality(t)}
-    cut = lambda t: {x.strip(" ") for x in t.split("\n") if x.strip(" ")}
+    cut = lambda t: {x.strip(WHITE) for x in t.split("\n") if x.strip(WHITE)}
     hosts = {h: {t for i, t in docs.items() if i % 2 == h} for h in (0, 1)}
     for i, text in list(docs.items()):
         own = hosts[i % 2]
-        bad = {x for x in cut(text) if sum(x in cut(o) for o in own) > max(4, 0.1 * len(own))}
-        docs[i] = "\n".join(x for x in text.split("\n") if x.strip(" ") not in bad)
+        bad = {x for x in cut(text) if sum(x in cut(o) for o in own) > max(1, 0.1 * len(own))}
+        docs[i] = "\n".join(x for x in text.split("\n") if x.strip(WHITE) not in bad)
     sets = {}
     for i, text in docs.items():
         w = words(text.translate(LOW))
