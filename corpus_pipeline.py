@@ -6,10 +6,10 @@ each result as Parquet to the shared folder and reads it again for the next stag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matnworks.llm import decontamination, lines, neardup, packing, quality
+from matnworks.llm import decontamination, lines, neardup, packing, quality, rows
 from matnworks.llm.queries import tokenizer
 from matnworks.sources import files
 from matnworks.sources.tables import table
@@ -22,35 +22,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its source."""
-    kept = lines.drop_boilerplate(docs, host="source").select(*docs.columns)
+    kept = lines.drop_boilerplate(docs, host="source", counts=False)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``: the id, or for a null id a number from the text, above the ids that tables have."""
-    of_text = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), of_text))
-
-
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more.
 
-    Of rows with one id and one text one stays.
+    Rows without id take part. Of rows that repeat id and text the first by all columns stays.
     """
-    rows = keyed(docs)
-    found = neardup.groups(rows.select(F.col("_key").alias("doc_id"), "text"), shingle=5, percent=80)
-    kept = rows.join(found.where("kept").select(F.col("doc_id").alias("_key")), "_key", "left_semi")
-    text = F.xxhash64("text", F.length("text"))
-    return kept.withColumn("_text", text).dropDuplicates(["_key", "_text"]).select(*docs.columns)
+    key, place = rows.fresh(docs, "key"), rows.fresh(docs, "place")
+    found = neardup.groups(docs, shingle=5, percent=80).where("stays").select(F.col("row").alias(key)).distinct()
+    kept = docs.withColumn(key, rows.row_key()).join(found, key, "left_semi")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*others or [F.col(key)]))
+    return kept.withColumn(place, first).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
-    rows = keyed(docs)
-    named = rows.select(F.col("_key").alias("doc_id"), "text")
-    found = decontamination.decontaminate(named, table(spark, sf_dir, "benchmark"), window=10)
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_key"))
-    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
+    key = rows.fresh(docs, "key")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
+    gone = found.where("contaminated").select(F.col("row").alias(key))
+    return docs.withColumn(key, rows.row_key()).join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
