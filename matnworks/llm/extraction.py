@@ -156,6 +156,7 @@ def blocks(page: str) -> list[Block]:
     links: list[str] = []
     stack: list[tuple[str, bool, bool, int]] = []  # tag, skipped, of an article, the container around
     opened: dict[str, int] = {}
+    unclosed: set[str] = set()
     skipped = inside = link = 0
 
     def flush() -> None:
@@ -201,8 +202,10 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in VOID or m["rest"].endswith("/"):
             continue
-        if tag in RAW:
+        if tag in RAW and tag not in unclosed:
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+            if not end:
+                unclosed.add(tag)  # nor does one follow any later tag of the name
             if end or tag in ("script", "style"):
                 at = end.end() if end else size
                 continue

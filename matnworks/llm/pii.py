@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -499,14 +501,20 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
             places = [place for place, line in zip(places, lines, strict=True) if line]
             lines = list(filter(None, lines))
             pieces = sorted(reader.open_stretches(lines), key=lambda p: len(p[2])) if lines else []
+            # The words of lines with spans and the ends of base spans, once however many stretches a line has.
+            cut: dict[int, list[re.Match]] = {}
+            edges = [([x for x, _, _ in sorted(b)], list(accumulate((y for _, _, y in sorted(b)), max))) for b in base]
             for some in parts(pieces):
                 for (line, low, _), labels in zip(some, field.best([p[2] for p in some]), strict=True):
                     if not labels.any():
                         continue
                     row, (start, end) = places[line]
-                    words = list(read_words(texts[row], start, end))[low : low + len(labels)]
-                    for a, kind, b in added_spans(words, labels):
-                        if any(x < b and a < y for x, _, y in base[row]):
+                    if line not in cut:
+                        cut[line] = list(read_words(texts[row], start, end))
+                    for a, kind, b in added_spans(cut[line][low : low + len(labels)], labels):
+                        begins, furthest = edges[row]
+                        before = bisect_left(begins, b)
+                        if before and furthest[before - 1] > a:
                             continue
                         if every[row] and every[row][-1][1] == kind and every[row][-1][0] <= a < every[row][-1][2]:
                             a = every[row].pop()[0]  # overlapping parts of one long word

@@ -1,13 +1,14 @@
 """Cases of the verdict of round 2: rows without id, ids with several texts, small hosts, and rules that decide."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from matnworks.llm import decontamination, lines, neardup, packing, passages, quality
+from matnworks.llm import decontamination, extraction, lines, neardup, packing, passages, pii, quality
 from test_pipeline import LIMITS, kept_by_quality
 
 SCHEMA = "doc_id long, text string"
@@ -190,3 +191,35 @@ def test_plans_of_many_pieces_against_the_floor():
         counts = Counter(spread() for _ in range(60_000))
         floor = -(-sum(n * c for n, c in counts.items()) // packing.CAPACITY)
         assert packing.best_plan(counts).sequences <= 1.003 * floor + 1
+
+
+def seconds(call):
+    started = time.process_time()
+    call()
+    return time.process_time() - started
+
+
+@pytest.mark.parametrize("tag", extraction.RAW)
+def test_time_of_unclosed_tags_is_linear(tag):
+    page = lambda n: f"<{tag}>x" * n
+    assert seconds(lambda: extraction.main_text(page(40_000))) < 2
+    few, many = (seconds(lambda n=n: extraction.main_text(page(n))) for n in (20_000, 160_000))
+    assert many < 10 * few + 0.2
+
+
+def test_unclosed_tags_give_the_same_text():
+    body = "<p>It was the best of times and it was the worst of times for all of the people of the town.</p>" * 3
+    for tag in ("svg", "textarea", "title"):
+        closed = f"<body><{tag}>hidden</{tag}>{body}<{tag}>more</{tag}>{body}</body>"
+        assert "hidden" not in extraction.main_text(closed) and "best of times" in extraction.main_text(closed)
+
+
+def test_many_secrets_in_one_line(spark):
+    field = pii.train()
+    line = lambda n: " ".join(f"password=5d0b86714c62def{i:04x} and then the next one was" for i in range(n))
+    found = {}
+    started = time.perf_counter()
+    for r in pii.find(spark.createDataFrame([(1, line(4_000)), (2, line(3))], SCHEMA), field).collect():
+        found[r.doc_id] = r.spans.split(",")
+    assert time.perf_counter() - started < 15
+    assert len(found[2]) == 3 and len(found[1]) == 4_000
