@@ -230,6 +230,7 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     firsts = linked.join(firsts, "component").select("x", "of_all")
     of_class = classes.select("x", "first").join(firsts, "x", "left")
     of_class = of_class.select(F.col("x").alias("digest"), F.coalesce("of_all", "first").alias("first"))
+    of_class = files.materialize(of_class, "named")  # plain scans again: copies of one text may be split
     found = marked.select("doc_id", "row", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     stays = F.col("first").isNull() | (F.col("first.row") == F.col("row"))

@@ -32,7 +32,7 @@ from matnworks.sources import files
 WINDOW = 50
 GRAM = 10
 SHARD_WORDS = 400_000
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 ALPHABET = [chr(code) for code in range(48, 112)]
 
 ANCHORS = "doc_id long, block int, anchor long, phrase long, at int, windows int"
