@@ -211,6 +211,56 @@ def stream_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DELIVERED = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("lang", T.StringType())]
+)
+# Faults by id: a number that is none, a field too few, a field too many.
+FAULTY_SQL = """
+WITH d AS (SELECT doc_id, n_chars, lang, doc_id % 13 AS fault FROM documents)
+SELECT doc_id, n_chars, lang, NULL AS record, NULL AS reason FROM d WHERE fault NOT IN (1, 2, 3)
+UNION ALL
+SELECT NULL, NULL, NULL, CASE fault WHEN 1 THEN concat(doc_id, ',x', n_chars, ',', lang) WHEN 2 THEN concat(doc_id, ',', n_chars)
+    ELSE concat(doc_id, ',', n_chars, ',', lang, ',more') END, CASE fault WHEN 1 THEN 'n_chars' ELSE 'record' END
+FROM d WHERE fault IN (1, 2, 3)
+"""
+
+
+def _faulty_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Some columns of the documents as CSV, with faulty records among them."""
+    folder = files.scratch(spark, "faulty")
+    fault, parts = F.col("doc_id") % 13, [F.col("doc_id"), F.col("n_chars"), F.col("lang")]
+    line = (
+        F.when(fault == 1, F.concat("doc_id", F.lit(",x"), "n_chars", F.lit(","), "lang"))
+        .when(fault == 2, F.concat_ws(",", *parts[:2]))
+        .when(fault == 3, F.concat_ws(",", *parts, F.lit("more")))
+        .otherwise(F.concat_ws(",", *parts))
+    )
+    rows = table(spark, sf_dir, "documents").repartition(4, "doc_id").select(line.alias("value"))
+    rows.write.text(f"{folder}/landing")
+    return folder
+
+
+def _sorted_out(good: DataFrame, bad: DataFrame) -> DataFrame:
+    typed = good.select("doc_id", "n_chars", "lang").withColumns({c: F.lit(None).cast("string") for c in ("record", "reason")})
+    return typed.unionByName(bad.select("record", "reason"), allowMissingColumns=True)
+
+
+@query("quarantine_csv", FAULTY_SQL)
+def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows with their types, faulty records with the reason, from one batch read."""
+    folder = _faulty_folder(spark, sf_dir)
+    raw = files.materialize(files.read_raw_csv(spark, f"{folder}/landing", DELIVERED, header=False), "raw")
+    return _sorted_out(files.well_formed(raw, DELIVERED), files.malformed(raw, DELIVERED))
+
+
+@query("quarantine_stream", FAULTY_SQL)
+def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stream of files with two sinks."""
+    folder = _faulty_folder(spark, sf_dir)
+    ingest.quarantine_stream(spark, f"{folder}/landing", DELIVERED, folder, files_per_trigger=2, header=False)
+    return _sorted_out(spark.read.parquet(f"{folder}/good"), spark.read.parquet(f"{folder}/bad"))
+
+
 CHUNKS = 50
 
 

@@ -10,6 +10,7 @@ from matnworks.functions.tokens import raw_tokens
 from matnworks.operators import tfidf, vocabulary
 from matnworks.plans.shared_sql import CLEAN, CLEAN_BIGRAMS, CLEAN_WORDS, CONTENT, NORMALIZED, SPACE
 from matnworks.registry import query
+from matnworks.sources import files
 from matnworks.sources.tables import (
     ar_documents,
     arabic_script,
@@ -126,6 +127,39 @@ def corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.corpus_totals(vocabulary.word_count(documents(spark, sf_dir), raw_tokens(F.col("text"))))
 
 
+def _sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sketches of the words of each source and label; a document without label has none."""
+    docs = documents(spark, sf_dir, "source").join(class_labels(spark, sf_dir), "doc_id", "left")
+    return files.materialize(vocabulary.word_sketches(docs, raw_tokens(F.col("text")), "source", "label"), "sketches")
+
+
+@query("approximate_vocabulary")
+def approximate_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and estimated vocabulary by source and label, by source, and of all, from one table of sketches."""
+    stored = _sketches(spark, sf_dir)
+    by_source = vocabulary.merge_sketches(stored, "source").withColumn("label", F.lit(None).cast("int"))
+    whole = vocabulary.merge_sketches(stored).withColumn("source", F.lit(None).cast("string"))
+    whole = whole.withColumn("label", F.lit(None).cast("int"))
+    scopes = [stored.withColumn("scope", F.lit("source, label")), by_source.withColumn("scope", F.lit("source"))]
+    rows = scopes[0].unionByName(scopes[1]).unionByName(whole.withColumn("scope", F.lit("all")))
+    return vocabulary.estimated_vocabulary(rows)
+
+
+@query(
+    "approximate_vocabulary_check",
+    f"""WITH w AS (SELECT source, unnest(regexp_extract_all(text, '[^{SPACE}]+')) AS word FROM documents)
+        SELECT source, count(*) AS total_tokens, count(DISTINCT word) AS vocabulary, true AS near FROM w GROUP BY source""",
+)
+def approximate_vocabulary_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By source: tokens as the merged sketches count them, the exact vocabulary, and whether the estimate is within 3 %."""
+    merged = vocabulary.estimated_vocabulary(vocabulary.merge_sketches(_sketches(spark, sf_dir), "source"))
+    every = vocabulary.words(documents(spark, sf_dir, "source"), raw_tokens(F.col("text")), keep=("source",))
+    exact = every.distinct().groupBy(F.col("source").alias("s")).agg(F.count("*").alias("vocabulary"))
+    near = F.abs(F.col("approx_vocabulary") - F.col("vocabulary")) <= 0.03 * F.col("vocabulary")
+    both = merged.join(exact, F.col("source").eqNullSafe(F.col("s")))
+    return both.select("source", "total_tokens", "vocabulary", near.alias("near"))
+
+
 @query(
     "ttr_by_label",
     f"""WITH {CLEAN_WORDS}

@@ -7,12 +7,15 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # CSV as RFC 4180 writes it: a quote in a field is doubled and a field may hold newlines. The format
 # cannot tell an empty text from a missing one; both are read as null, and the corpus drops both.
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# With column pruning a short record would pass when its missing fields are not asked for.
+RAW_READ = {**CSV_READ, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "columnPruning": "false"}
 CSV_WRITE = {
     "header": "true",
     "quote": '"',
@@ -22,6 +25,8 @@ CSV_WRITE = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+CORRUPT = "_corrupt_record"
+
 _local_base: dict[str, str] = {}
 _open_paths: list[str] = []
 
@@ -69,6 +74,35 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_READ).csv(path)
 
 
+def raw_schema(schema: T.StructType) -> T.StructType:
+    """All columns as text, and a column for records that do not have as many fields as the schema."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(CORRUPT, T.StringType())])
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """CSV as text, for ``well_formed`` and ``malformed``; no row is dropped or guessed."""
+    return spark.read.schema(raw_schema(schema)).options(**RAW_READ).option("header", header).csv(path)
+
+
+def _fault(schema: T.StructType) -> Column:
+    """Null for a good row, ``record`` for a wrong number of fields, else the first column that does not parse."""
+    wrong = F.when(F.col(CORRUPT).isNotNull(), F.lit("record"))
+    for f in schema:
+        wrong = wrong.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+    return wrong
+
+
+def well_formed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of a raw frame that fit the schema, with its types. Missing values stay null."""
+    return raw.where(_fault(schema).isNull()).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def malformed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """``record, reason`` of the other rows. A record with a wrong number of fields is kept as it was read."""
+    record = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[F.col(f.name) for f in schema])))
+    return raw.where(_fault(schema).isNotNull()).select(record.alias("record"), _fault(schema).alias("reason"))
+
+
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """A multi-line CSV file cannot be split on reading, so the size of each file is bounded."""
     df.write.mode("overwrite").options(**CSV_WRITE).option("maxRecordsPerFile", rows_per_file).csv(path)
