@@ -28,7 +28,12 @@ CSV_WRITE = {
 CORRUPT = "_corrupt_record"
 
 _local_base: dict[str, str] = {}
-_open_paths: list[str] = []
+_open_paths: dict[str, list[str]] = {}
+
+
+def _paths(spark: SparkSession) -> list[str]:
+    """The scratch tables of this application."""
+    return _open_paths.setdefault(spark.sparkContext.applicationId, [])
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -46,15 +51,15 @@ def scratch(spark: SparkSession, name: str) -> str:
             _local_base[context.applicationId] = tempfile.mkdtemp(prefix="matnworks-")
         base = _local_base[context.applicationId]
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _open_paths.append(path)
+    _paths(spark).append(path)
     return path
 
 
 def release(spark: SparkSession, since: int = 0) -> int:
     """Remove the scratch tables made after the first ``since``; call it once their results are consumed."""
-    context, removed = spark.sparkContext, 0
-    while len(_open_paths) > since:
-        path = context._jvm.org.apache.hadoop.fs.Path(_open_paths.pop())
+    context, paths, removed = spark.sparkContext, _paths(spark), 0
+    while len(paths) > since:
+        path = context._jvm.org.apache.hadoop.fs.Path(paths.pop())
         removed += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
     return removed
 
@@ -62,7 +67,7 @@ def release(spark: SparkSession, since: int = 0) -> int:
 @contextmanager
 def scratch_space(spark: SparkSession) -> Iterator[None]:
     """Scratch tables that are made inside are removed at the end; read results before that."""
-    since = len(_open_paths)
+    since = len(_paths(spark))
     try:
         yield
     finally:
