@@ -1,18 +1,24 @@
 """Chat formatting by schema fingerprints.
 
-A record is a JSON object of any layout. The hash of its nested field paths selects a declarative mapping,
-which names the fields that become canonical turns; records of an unknown fingerprint are returned
-without turns, with their fingerprint, so that a mapping can be added. A template writes turns as one text,
-marks the spans that count for the loss, and escapes its own control strings inside roles and texts by a
-backslash behind their first character; taking one backslash away restores them.
-
-Null text or role: empty. A record that is null or no JSON object: unknown. Empty tables give no rows.
-Repeated rows are formatted one by one; in ``records`` rows of one turn number stand in the order of role and
-text. Other columns than those named are ignored.
+A record is a JSON object of any layout. The hash of its nested field paths, as far as any mapping declares
+them, selects a declarative mapping, which names the fields that become canonical turns. Other fields of a record
+(ids, scores, sources) do not matter. A template writes turns as one text, marks the spans that count for the
+loss, and escapes its own control strings inside roles and texts by a backslash behind their first character;
+taking one backslash away restores them.
+
+Every record gives one row. Unknown records have null turns and the fingerprint of all their paths, so that a
+mapping can be added: null, no JSON object, too deep for the parser, paths of no mapping or of several, a list with
+elements that are no objects, or a text that is an object or a list. An empty or null list has no turns. A required
+field that is null is an empty turn; an optional one that is null or empty is no turn. Numbers and truth values are
+texts as JSON writes them. A surrogate without its other half becomes U+FFFD.
+
+Null text or role: empty. Empty tables give no rows. Repeated rows are formatted one by one; in ``records`` rows of
+one turn number stand in the order of role and text. Other columns than those named are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import json
@@ -21,7 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FORMATTED = (
@@ -49,24 +55,42 @@ class Mapping:
     names: tuple[tuple[str, str], ...] = ()
 
     def paths(self) -> list[str]:
-        if self.messages:
-            inner = [f"{self.messages}[].{self.role}", f"{self.messages}[].{self.text}"]
-            return [self.messages, *inner, *[p for p, _ in self.fields]]
-        return [p for p, _ in self.fields]
+        return [p for p, _ in self.fields] + ([self.messages, *self.inner()] if self.messages else [])
+
+    def inner(self) -> list[str]:
+        return [f"{self.messages}[].{self.role}", f"{self.messages}[].{self.text}"]
 
     def fingerprints(self) -> Iterator[str]:
-        fixed = [p for p in self.paths() if p not in self.optional]
-        for n in range(len(self.optional) + 1):
-            for some in itertools.combinations(self.optional, n):
+        loose = [*self.optional, *(self.inner() if self.messages else [])]  # an empty list has no paths inside it
+        fixed = [p for p in self.paths() if p not in loose]
+        for n in range(len(loose) + 1):
+            for some in itertools.combinations(loose, n):
                 yield fingerprint_of({*fixed, *some})
 
-    def turns(self, record: dict) -> list[tuple[str, str]]:
-        single = [(role, record[path]) for path, role in self.fields if record.get(path)]
+    def turns(self, record: dict) -> list[tuple[str, str]] | None:
+        """The turns, or None where a value is of another type than this layout has."""
+        found = [(role, record.get(path)) for path, role in self.fields if path not in self.optional or record.get(path) not in (None, "")]
+        if self.messages:
+            listed = record.get(self.messages)
+            listed = [] if listed is None else listed
+            if not isinstance(listed, list) or not all(isinstance(m, dict) for m in listed):
+                return None
+            found += [(m.get(self.role), m.get(self.text)) for m in listed]
+        if any(isinstance(x, (dict, list)) for turn in found for x in turn):
+            return None
         names = dict(self.names)
-        listed = [
-            (names.get(m.get(self.role), m.get(self.role)), m.get(self.text)) for m in record.get(self.messages) or ()
-        ]
-        return [(str(role or ""), str(text or "")) for role, text in single + listed]
+        shown = [(plain_text(role), plain_text(text)) for role, text in found]
+        return [(names.get(role, role), text) for role, text in shown]
+
+
+def plain_text(value: object) -> str:
+    """A JSON scalar as text that can be stored."""
+    text = value if isinstance(value, str) else "" if value is None else json.dumps(value)
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return text
 
 
 MAPPINGS = (
@@ -146,20 +170,50 @@ def read(formatted: str) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------- the operator
 
 
-def records(rows: DataFrame) -> DataFrame:
+def records(rows: DataFrame, layouts: tuple[Mapping, ...] | None = None) -> DataFrame:
     """``conv_id, record``: the rows of each conversation (``conv_id, turn, role, text``) as one JSON object.
 
-    A conversation is handled by one task, as any sequence model must read it; conversations spread by id.
+    ``layouts`` are the layouts to write, dealt by a hash of ``conv_id`` among those that can hold the conversation:
+    layouts of single fields hold a user and an assistant row; lists hold any rows whose roles they
+    do not rename, so at least one of ``layouts`` must be a list without ``names``. By default all rows are written
+    as ``turns``. A conversation is handled by one task, as any sequence model must read it; conversations
+    spread by id.
     """
+    layouts = layouts or tuple(m for m in MAPPINGS if m.layout == "turns")
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = F.transform(F.array_sort(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    grouped = rows.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(turns.alias("turns"))
-    return grouped.select("conv_id", F.to_json(F.struct("turns")).alias("record"))
+    grouped = rows.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    roles = F.col("turns.role")
+    pair = (F.size("turns") == 2) & (roles[0] == "user") & (roles[1] == "assistant")
+    deal = F.xxhash64(F.col("conv_id"), F.lit("layout"))
+
+    def written(layout: Mapping) -> Column:
+        if layout.messages:
+            role = lambda t: functools.reduce(lambda c, n: F.when(t["role"] == n[1], n[0]).otherwise(c), layout.names, t["role"])
+            inside = F.transform("turns", lambda t: F.struct(role(t).alias(layout.role), t["text"].alias(layout.text)))
+            return F.to_json(F.struct(F.col("conv_id").alias("id"), inside.alias(layout.messages)))
+        paths = {role: path for path, role in layout.fields if path not in layout.optional}
+        said = [F.col("turns.text")[i].alias(paths[role]) for i, role in enumerate(("user", "assistant"))]
+        return F.to_json(F.struct(F.col("conv_id").alias("id"), *said))
+
+    def dealt(choice: list[Mapping]) -> Column:
+        out = written(choice[-1])
+        for i, layout in enumerate(choice[:-1]):
+            out = F.when(F.pmod(deal, F.lit(len(choice))) == i, written(layout)).otherwise(out)
+        return out
+
+    renamed = F.array(*[F.lit(n) for m in layouts for n, _ in m.names]) if any(m.names for m in layouts) else None
+    plain = [m for m in layouts if m.messages and not m.names]
+    lists = [m for m in layouts if m.messages]
+    record = dealt(plain) if renamed is None else F.when(F.arrays_overlap(roles, renamed), dealt(plain)).otherwise(dealt(lists))
+    if len(lists) < len(layouts):
+        record = F.when(pair, dealt(list(layouts))).otherwise(record)
+    return grouped.select("conv_id", record.alias("record"))
 
 
 def format_chat(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS, loss_role: str = "assistant") -> DataFrame:
     """Canonical turns, the formatted text and its loss spans of every ``conv_id, record``."""
     known = {mark: m for m in mappings for mark in m.fingerprints()}
+    declared = {path for m in mappings for path in m.paths()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,14 +221,15 @@ def format_chat(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS, loss_ro
             for conv_id, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     value = json.loads(record) if record is not None else None
-                except ValueError:
+                except (ValueError, RecursionError):
                     value = None
-                mark = fingerprint_of(set(field_paths(value)))
+                paths = set(field_paths(value))
+                mark = fingerprint_of(paths & declared)
                 mapping = known.get(mark) if isinstance(value, dict) else None
-                if mapping is None:
-                    out.append((conv_id, mark, None, None, None, None))
+                turns = mapping.turns(value) if mapping else None
+                if turns is None:
+                    out.append((conv_id, fingerprint_of(paths), None, None, None, None))
                     continue
-                turns = mapping.turns(value)
                 formatted, loss = write(turns, loss_role)
                 out.append((conv_id, mark, mapping.layout, [{"role": r, "text": t} for r, t in turns], formatted, loss))
             types = [pa.int64(), pa.string(), pa.string(), TURNS, pa.string(), SPANS]
@@ -189,7 +244,8 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """What a reader gets from ``formatted`` and ``loss`` alone: turns and loss text, as digests."""
+    """What a reader gets from ``formatted`` and ``loss`` alone: turns and loss text, as digests; nulls for unknown
+    records."""
 
     def digest(text: str) -> str:
         return hashlib.sha256(text.encode()).hexdigest()
@@ -198,6 +254,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for conv_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if text is None:
+                    out.append((conv_id, None, None, None, None, None))
+                    continue
                 turns = read(text)
                 loss = "".join([unescape(text[s["start"] : s["end"]]) for s in spans])
                 whole = "".join([f"{role}\n{body}\n" for role, body in turns])
@@ -207,4 +266,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return formatted.where("formatted IS NOT NULL").select("conv_id", "formatted", "loss").mapInArrow(run, DIGESTS)
+    return formatted.select("conv_id", "formatted", "loss").mapInArrow(run, DIGESTS)

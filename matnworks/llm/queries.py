@@ -139,7 +139,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         said.alias("text"),
     )
-    return chat.read_back(chat.format_chat(chat.records(rows.union(added))))
+    return chat.read_back(chat.format_chat(chat.records(rows.union(added), chat.MAPPINGS)))
 
 
 @query("op6_quality_classifier")
