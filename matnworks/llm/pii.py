@@ -410,6 +410,8 @@ PLACES = 5  # the word itself, the one before, the one behind, the second before
 KEY = re.compile(r"[^A-Za-z]*([A-Za-z]+[_-])*([A-Za-z]+)[\"']?[=:](?=.)")
 NAME = re.compile(r"(?:[a-z]+[_-])*([a-z]{1,12})")
 LEAD = re.compile(r"[A-Za-z]{2,5}[_-](?:live_|test_)?")
+SIMPLE = re.compile(r"([A-Z]?)([^\W\d_A-Z]+)([.,;:!?]?)")
+UNUSUAL = re.compile("[^A-Za-z0-9]")
 GLUED = re.compile(r"[(\[{](?:at|dot)[)\]}]", re.IGNORECASE)
 HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 CODE = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
@@ -462,7 +464,7 @@ def word_features(word: str) -> list[str]:
         f"lead {lead[0] if lead and digits else value[:4] if len(value) >= 16 and value.isupper() and CODE.fullmatch(value) is None else '-'}",
         f"make {make(value)} {key is not None}",
         f"spelled {'glued' if GLUED.search(word) and word.strip('()[]{}').lower() not in ('at', 'dot') else 'host' if HOST.fullmatch(core) else '-'}",
-        f"marks {''.join(sorted(set(re.findall('[^A-Za-z0-9]', word))))[:6]} {digits > 0}",
+        f"marks {''.join(sorted(set(UNUSUAL.findall(word))))[:6]} {digits > 0}",
     ]
 
 
@@ -617,20 +619,33 @@ class Reader:
         step = field.step - field.step[0, 0]
         self.enter, self.leave = step.max(axis=0), max(0.0, float(step[1:, 0].max()))
 
+    def simple(self, word: str) -> tuple | None:
+        """All that the features tell of an ordinary word: letters, the first perhaps a capital, and one mark."""
+        match = SIMPLE.fullmatch(word)
+        core = match[1] + match[2] if match else ""
+        if not core.isalpha():
+            return None
+        low, size = core.lower(), len(core)
+        if core.isascii():
+            if size <= 12 and f"name {low}" in self.number:
+                return None
+            return bool(match[1]), match[3], min(len(word), 30) // 3, size > 12, make(core)
+        if low.isascii() or (size >= 16 and core.isupper()):
+            return None
+        return bool(match[1]), match[3], min(len(word), 30) // 3, "".join(sorted(set(UNUSUAL.findall(word))))[:6]
+
     def row(self, word: str) -> int:
         """The number of the row of weights of a word."""
-        simple = None
-        if word.isascii() and word.isalpha() and word.islower() and f"name {word}" not in self.number:
-            simple = (min(len(word), 30) // 3, len(word) > 12, make(word))  # all that the features tell of such a word
-            if simple in self.plain:
-                found = self.words[word] = self.plain[simple]
-                return found
+        simple = self.simple(word)
+        if simple in self.plain:
+            found = self.words[word] = self.plain[simple]
+            return found
         key = tuple([self.number.get(name, 0) for name in word_features(word)])
         if key not in self.rows:
             self.rows[key] = len(self.sums)
             self.sums.append(self.weights[list(key)].sum(axis=0))
         found = self.words[word] = self.rows[key]
-        if simple:
+        if simple is not None:
             self.plain[simple] = found
         return found
 

@@ -229,3 +229,13 @@ def test_training_is_quick():
     started = time.time()
     pii.Field().train(pii.parse(pii.EXAMPLES)[:100], rounds=2)
     assert time.time() - started < 5
+
+
+def test_ordinary_words_have_the_weights_of_their_features(spark, sf_dir, field):
+    words = {w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() for w in pii.WORD.findall(r.text or "")}
+    words |= {w for text, _ in PARSED for w in pii.WORD.findall(text)}
+    words |= {"password", "Password:", "PASSWORD", "\u212aey", "\u00c9" * 20, "x\u00b2", "a" * 11, "a" * 12 + ".", "A" + "b" * 12, "e\u0301t\u00e9", "\u0130x,", "no=", "A", "\u00e9:"}
+    reader = pii.Reader(field)
+    for word in sorted(words, key=lambda w: w[::-1]):
+        numbers = [reader.number.get(name, 0) for name in pii.word_features(word)]
+        assert (reader.sums[reader.row(word)] == reader.weights[numbers].sum(axis=0)).all(), word
