@@ -12,8 +12,14 @@ elements that are no objects, or a text that is an object or a list. An empty or
 field that is null is an empty turn; an optional one that is null or empty is no turn. Numbers and truth values are
 texts as JSON writes them. A surrogate without its other half becomes U+FFFD.
 
-Null text or role: empty. Empty tables give no rows. Repeated rows are formatted one by one; in ``records`` rows of
-one turn number stand in the order of role and text. Other columns than those named are ignored.
+A conversation may hold any share of the rows. It is cut into parts of at most ``SEGMENT`` rows or ``SEGMENT_CHARS``
+characters (or one row), each a record of its own; the formatted texts of its parts, in order, are the formatted
+conversation. Rows reach parts by ranges of (conversation, turn, role, beginning of the text), so the parts of one
+conversation are written and formatted by different tasks, and no task holds a conversation.
+
+Null text or role: empty. A null ``conv_id`` is a conversation of its own. Empty tables give no rows. Repeated rows are
+formatted one by one; in ``records`` rows of one turn number stand in the order of role and text, null turns first.
+Other columns than those named are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +32,21 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matnworks.llm.words import slices
+
+SEGMENT = 256
+SEGMENT_CHARS = 1 << 20
+
+PARTS = "conv_id long, part long, turns array<struct<turn: long, role: string, text: string>>"
 FORMATTED = (
-    "conv_id long, fingerprint string, layout string, turns array<struct<role: string, text: string>>, "
+    "conv_id long, part long, fingerprint string, layout string, turns array<struct<role: string, text: string>>, "
     "formatted string, loss array<struct<start: int, end: int>>"
 )
 TURNS = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
@@ -170,18 +185,57 @@ def read(formatted: str) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------- the operator
 
 
-def records(rows: DataFrame, layouts: tuple[Mapping, ...] | None = None) -> DataFrame:
-    """``conv_id, record``: the rows of each conversation (``conv_id, turn, role, text``) as one JSON object.
+def parts(rows: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """``conv_id, part, turns``: the rows of each conversation in order, cut into parts that one task can hold."""
 
-    ``layouts`` are the layouts to write, dealt by a hash of ``conv_id`` among those that can hold the conversation:
-    layouts of single fields hold a user and an assistant row; lists hold any rows whose roles they
+    def starts(batch: pa.RecordBatch) -> list[int]:
+        out, count, chars, before = [], 0, 0, None
+        sizes = pc.binary_length(batch.column(3)).to_pylist()
+        for i, (conv_id, length) in enumerate(zip(batch.column(0).to_pylist(), sizes, strict=True)):
+            if not out or conv_id != before or count >= size or chars >= SEGMENT_CHARS:
+                out.append(i)
+                count = chars = 0
+            count, chars, before = count + 1, chars + length, conv_id
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        rest = None
+
+        def cut(batch: pa.RecordBatch, bounds: list[int]) -> pa.RecordBatch:
+            nonlocal number
+            turns = pa.StructArray.from_arrays(batch.columns[1:], ["turn", "role", "text"])
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), turns)
+            marks = pa.array(np.arange(number, number + len(lists)))
+            number += len(lists)
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(bounds[:-1])), marks, lists], ["conv_id", "part", "turns"])
+
+        for batch in slices(batches):
+            batch = batch if rest is None else pa.concat_batches([rest, batch])
+            bounds = starts(batch)
+            rest = batch.slice(bounds[-1])  # the last part may go on in the next batch
+            if len(bounds) > 1:
+                yield cut(batch.slice(0, bounds[-1]), bounds)
+        if rest is not None:
+            yield cut(rest, [0, rest.num_rows])
+
+    shown = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    said = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *shown)
+    order = ["conv_id", "turn", "role"]
+    dealt = said.withColumn("begin", F.substring("text", 1, 32)).repartitionByRange(*order, "begin")
+    return dealt.sortWithinPartitions(*order, "text").drop("begin").mapInArrow(run, PARTS)
+
+
+def records(rows: DataFrame, layouts: tuple[Mapping, ...] | None = None, size: int = SEGMENT) -> DataFrame:
+    """``conv_id, part, record``: the rows of each conversation (``conv_id, turn, role, text``) as JSON objects.
+
+    A conversation has one record, or one for each ``part`` of a long one or of one on the edge of a range; parts
+    are ordered by their number. ``layouts`` are the layouts to write, dealt by a hash of ``conv_id`` among those that
+    can hold the part: layouts of single fields hold a user and an assistant row; lists hold any rows whose roles they
     do not rename, so at least one of ``layouts`` must be a list without ``names``. By default all rows are written
-    as ``turns``. A conversation is handled by one task, as any sequence model must read it; conversations
-    spread by id.
+    as ``turns``.
     """
     layouts = layouts or tuple(m for m in MAPPINGS if m.layout == "turns")
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = rows.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     roles = F.col("turns.role")
     pair = (F.size("turns") == 2) & (roles[0] == "user") & (roles[1] == "assistant")
     deal = F.xxhash64(F.col("conv_id"), F.lit("layout"))
@@ -207,18 +261,21 @@ def records(rows: DataFrame, layouts: tuple[Mapping, ...] | None = None) -> Data
     record = dealt(plain) if renamed is None else F.when(F.arrays_overlap(roles, renamed), dealt(plain)).otherwise(dealt(lists))
     if len(lists) < len(layouts):
         record = F.when(pair, dealt(list(layouts))).otherwise(record)
-    return grouped.select("conv_id", record.alias("record"))
+    return parts(rows, size).select("conv_id", "part", record.alias("record"))
 
 
 def format_chat(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS, loss_role: str = "assistant") -> DataFrame:
-    """Canonical turns, the formatted text and its loss spans of every ``conv_id, record``."""
+    """Canonical turns, the formatted text and its loss spans of every ``conv_id, part, record``.
+
+    Without a column ``part`` each record is a conversation.
+    """
     known = {mark: m for m in mappings for mark in m.fingerprints()}
     declared = {path for m in mappings for path in m.paths()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "record"):
             out: list[tuple] = []
-            for conv_id, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for conv_id, part, record in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 try:
                     value = json.loads(record) if record is not None else None
                 except (ValueError, RecursionError):
@@ -228,42 +285,75 @@ def format_chat(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS, loss_ro
                 mapping = known.get(mark) if isinstance(value, dict) else None
                 turns = mapping.turns(value) if mapping else None
                 if turns is None:
-                    out.append((conv_id, fingerprint_of(paths), None, None, None, None))
+                    out.append((conv_id, part, fingerprint_of(paths), None, None, None, None))
                     continue
                 formatted, loss = write(turns, loss_role)
-                out.append((conv_id, mark, mapping.layout, [{"role": r, "text": t} for r, t in turns], formatted, loss))
-            types = [pa.int64(), pa.string(), pa.string(), TURNS, pa.string(), SPANS]
-            names = ["conv_id", "fingerprint", "layout", "turns", "formatted", "loss"]
+                out.append((conv_id, part, mark, mapping.layout, [{"role": r, "text": t} for r, t in turns], formatted, loss))
+            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), TURNS, pa.string(), SPANS]
+            names = ["conv_id", "part", "fingerprint", "layout", "turns", "formatted", "loss"]
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return df.select("conv_id", "record").mapInArrow(run, FORMATTED)
+    part = F.col("part") if "part" in df.columns else F.lit(0).cast("long").alias("part")
+    return df.select("conv_id", part, "record").mapInArrow(run, FORMATTED)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
+class Reading:
+    """Digests of a conversation, read part by part."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.part, self.known = conv_id, -1, True
+        self.turns = self.loss = self.size = 0
+        self.turns_hash, self.loss_hash = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, part: int, text: str | None, spans: list[dict] | None) -> None:
+        self.part = part
+        if text is None:
+            self.known = False
+            return
+        turns = read(text)
+        loss = "".join([unescape(text[s["start"] : s["end"]]) for s in spans])
+        self.turns_hash.update("".join([f"{role}\n{body}\n" for role, body in turns]).encode())
+        self.loss_hash.update(loss.encode())
+        self.turns, self.loss, self.size = self.turns + len(turns), self.loss + len(loss), self.size + len(text)
+
+    def row(self) -> tuple:
+        if not self.known:
+            return (self.conv_id, None, None, None, None, None)
+        return (self.conv_id, self.turns, self.turns_hash.hexdigest(), self.loss, self.loss_hash.hexdigest(), self.size)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """What a reader gets from ``formatted`` and ``loss`` alone: turns and loss text, as digests; nulls for unknown
-    records."""
+    records, also where one part of a conversation is unknown.
 
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
+    A digest needs the parts of a conversation one after the other; they pass one task as a stream. A row whose
+    ``part`` is not behind that of the row before is a record of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for conv_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if text is None:
-                    out.append((conv_id, None, None, None, None, None))
-                    continue
-                turns = read(text)
-                loss = "".join([unescape(text[s["start"] : s["end"]]) for s in spans])
-                whole = "".join([f"{role}\n{body}\n" for role, body in turns])
-                out.append((conv_id, len(turns), digest(whole), len(loss), digest(loss), len(text)))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            columns = zip(*out, strict=True) if out else [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    return formatted.select("conv_id", "formatted", "loss").mapInArrow(run, DIGESTS)
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
+        reading = None
+        for batch in slices(batches, "formatted"):
+            out: list[tuple] = []
+            for conv_id, part, text, spans in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if reading is None or conv_id != reading.conv_id or part <= reading.part:
+                    if reading is not None:
+                        out.append(reading.row())
+                    reading = Reading(conv_id)
+                reading.add(part, text, spans)
+            if out:
+                yield table(out)
+        if reading is not None:
+            yield table([reading.row()])
+
+    ordered = formatted.select("conv_id", "part", "formatted", "loss").repartition("conv_id")
+    return ordered.sortWithinPartitions("conv_id", "part").mapInArrow(run, DIGESTS)

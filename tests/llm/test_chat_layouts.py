@@ -86,3 +86,52 @@ def test_query_equals_the_plain_contract(spark, sf_dir):
         assert found[conv_id].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
         assert found[conv_id].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
         assert found[conv_id].loss_chars == len(loss)
+
+
+def test_a_conversation_of_most_rows_is_cut_into_parts(spark):
+    said = F.concat(F.lit("</s>"), F.repeat(F.lit("word "), 20), F.col("id").cast("string"))
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role")
+    hot = spark.range(20_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, said.alias("text"))
+    one_turn = spark.range(3_000).select(
+        F.lit(2).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("user").alias("role"), said.alias("text")
+    )
+    long = spark.range(4).select(F.lit(3).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, F.repeat(F.lit("é"), 900_000).alias("text"))
+    small = spark.range(400).select((F.col("id") + 10).alias("conv_id"), F.lit(0).cast("long").alias("turn"), role, said.alias("text"))
+    rows = hot.union(one_turn).union(long).union(small).repartition(8, "text")
+    written = chat.records(rows, chat.MAPPINGS)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        tasks = [r.p for r in written.where("conv_id = 1").select(F.expr("shiftright(part, 33)").alias("p")).distinct().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(tasks) > 1  # small partitions are merged otherwise
+    out = chat.format_chat(written)
+    sizes = out.select("conv_id", F.size("turns").alias("n")).collect()
+    assert max(r.n for r in sizes) <= chat.SEGMENT
+    assert sum(r.conv_id == 3 for r in sizes) >= 2  # 1.8 MB of text to a row of it
+    plain: dict = {}
+    for r in rows.collect():
+        plain.setdefault(r.conv_id, []).append((-1 if r.turn is None else r.turn, r.role, r.text))
+    found = chat.read_back(out).collect()
+    assert len(found) == len(plain) and {r.conv_id for r in found} == set(plain)
+    for r in found:
+        turns = sorted(plain[r.conv_id])
+        loss = "".join(t for _, role, t in turns if role == "assistant")
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{t}\n" for _, a, t in turns).encode()).hexdigest()
+        assert (r.n_turns, r.loss_chars) == (len(turns), len(loss))
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert r.formatted_chars == sum(len(chat.write([(a, t)], "assistant")[0]) for _, a, t in turns)
+
+
+def test_small_parts_give_the_same_digests(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").withColumn("conv_id", F.col("conv_id") % 3)
+    some = {n: sorted(chat.read_back(chat.format_chat(chat.records(given, chat.MAPPINGS, n))).collect()) for n in (1, 2, 7, chat.SEGMENT)}
+    assert len(some[1]) == 3 and some[1] == some[2] == some[7] == some[chat.SEGMENT]
+
+
+def test_an_unknown_part_makes_the_conversation_unknown(spark):
+    rows = [(1, 0, '{"turns": []}'), (1, 1, "no json"), (2, 0, '{"turns": []}'), (2, 0, '{"turns": []}'), (None, 0, "x")]
+    back = chat.read_back(chat.format_chat(spark.createDataFrame(rows, "conv_id long, part long, record string"))).collect()
+    assert sorted((str(r.conv_id), r.n_turns) for r in back if r.n_turns is not None) == [("2", 0), ("2", 0)]
+    assert sorted(str(r.conv_id) for r in back if r.n_turns is None) == ["1", "None"]
