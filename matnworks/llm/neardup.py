@@ -35,6 +35,7 @@ from matnworks.sources import files
 
 BANDS = 36
 ROWS = 6
+SHARE = 128
 
 SIGNED = "doc_id long, row binary, n_shingles long, digest binary, bands array<long>"
 SETS = "x binary, shingles array<long>"
@@ -147,10 +148,19 @@ def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    # Both sides are plain scans, so a centre with many members can be split between tasks.
+    pairs = salted(pairs)
     of_x = sets.select("x", F.col("shingles").alias("sx"))
     of_c = sets.select(F.col("x").alias("c"), F.col("shingles").alias("sc"))
-    return pairs.join(of_x, "x").join(of_c, "c").select("c", "x", "sc", "sx").mapInArrow(run, STARS)
+    centres = pairs.select("c", "salt").distinct().join(of_c, "c")
+    met = pairs.join(of_x, "x").join(centres, ["c", "salt"])
+    return met.select("c", "x", "sc", "sx").mapInArrow(run, STARS)
+
+
+def salted(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with a ``salt``: the members of a centre in shares of about ``SHARE``, each met by a copy of its set."""
+    large = pairs.groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") > SHARE)
+    salt = F.pmod(F.xxhash64("x"), F.ceil(F.coalesce("n", F.lit(1)) / SHARE))
+    return pairs.join(large, "c", "left").select("c", "x", salt.alias("salt"))
 
 
 def bucket_stars(members: DataFrame) -> DataFrame:
