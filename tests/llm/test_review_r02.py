@@ -70,25 +70,6 @@ def test_near_duplicates_of_one_id_with_several_texts_and_of_none(spark):
     assert out.where("stays").count() == 4
 
 
-def test_members_of_a_centre_are_dealt_in_shares(spark, monkeypatch):
-    body = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(body[:i] + [f"x{i}"] + body[i:])) for i in range(150)] + [(1000 + i, numbered(f"z{i}", 80)) for i in range(20)]
-    docs = spark.createDataFrame(rows, SCHEMA)
-    found = []
-    for share in (4, 10_000):
-        monkeypatch.setattr(neardup, "SHARE", share)
-        found.append(sorted(tuple(r) for r in neardup.groups(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()))
-    assert found[0] == found[1]
-    assert all(r[2] == (0 if r[0] < 150 else r[0]) for r in found[0])
-    monkeypatch.setattr(neardup, "SHARE", 4)
-    pairs = spark.range(1, 101).select(F.lit(b"c").alias("c"), F.col("id").cast("string").cast("binary").alias("x"))
-    shares = neardup.salted(pairs.union(spark.createDataFrame([(b"d", b"x")], "c binary, x binary"))).groupBy("c").agg(
-        F.countDistinct("salt").alias("n"), F.count("*").alias("rows")
-    )
-    by_centre = {bytes(r.c): (r.n, r.rows) for r in shares.collect()}
-    assert by_centre[b"d"] == (1, 1) and by_centre[b"c"][0] > 15 and by_centre[b"c"][1] == 100
-
-
 def test_one_document_of_a_group_stays_where_ids_repeat(spark):
     p = numbered("p", 100)
     rows = [(5, p, "b", "s", 1), (5, p, "a", "s", 1), (5, p + " x", "c", "s", 1), (6, p, "c", "s", 1), (8, "other text here", "d", None, 1)]
