@@ -42,7 +42,7 @@ from matnworks.sources import files
 
 CHUNK = 1 << 16
 FAN = 8
-KEPT_WORDS = 100_000
+KEPT_WORDS = 50_000
 LONGEST_KEPT = 64
 SCORED_ROWS = 200
 BLANK = "▁"
