@@ -43,6 +43,7 @@ from matnworks.sources import files
 CHUNK = 1 << 16
 FAN = 8
 KEPT_WORDS = 50_000
+LEARNED_WORDS = 5_000
 LONGEST_KEPT = 64
 SCORED_ROWS = 200
 BLANK = "▁"
@@ -206,7 +207,9 @@ class Tokens:
         known = self.known
         cut = [self.words(text) for text in texts]
         new = list({w for words in cut for w in words if w not in known})
-        found = self.learn(new) if new else {}
+        found: dict[str, tuple | None] = {}
+        for i in range(0, len(new), LEARNED_WORDS):
+            found |= self.learn(new[i : i + LEARNED_WORDS])
         known.update((w, e) for w, e in found.items() if len(w) <= LONGEST_KEPT)
         found = {w: e for w, e in found.items() if len(w) > LONGEST_KEPT}
         for words in cut:
@@ -331,6 +334,9 @@ class Aligner:
         while most:
             fragments = fragments.groupBy("part", "row", (F.col("chunk") / FAN).cast("long").alias("group")).applyInArrow(join, FRAGMENT)
             most //= FAN
+            if not most:
+                # A stage with two Python operators would keep twice as many workers, each with both tokenizers later.
+                fragments = files.materialize(fragments, "composed")
         return fragments.mapInArrow(close, DOCUMENT)
 
     def documents(self, docs: DataFrame) -> DataFrame:
