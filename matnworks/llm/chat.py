@@ -12,8 +12,8 @@ elements that are no objects, or a text that is an object or a list. An empty or
 field that is null is an empty turn; an optional one that is null or empty is no turn. Numbers and truth values are
 texts as JSON writes them. A surrogate without its other half becomes U+FFFD.
 
-A conversation may hold any share of the rows. It is cut into parts of at most ``SEGMENT`` rows or ``SEGMENT_CHARS``
-characters (or one row), each a record of its own; the formatted texts of its parts, in order, are the formatted
+A conversation may hold any share of the rows. It is cut into parts, which end at ``SEGMENT`` rows or with the row that
+reaches ``SEGMENT_BYTES`` of text, each a record of its own; the formatted texts of its parts, in order, are the formatted
 conversation. Rows reach parts by ranges of (conversation, turn, role, beginning of the text), so the parts of one
 conversation are written and formatted by different tasks, and no task holds a conversation.
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from matnworks.llm.words import slices
 
 SEGMENT = 256
-SEGMENT_CHARS = 1 << 20
+SEGMENT_BYTES = 1 << 20
 
 PARTS = "conv_id long, part long, turns array<struct<turn: long, role: string, text: string>>"
 FORMATTED = (
@@ -192,7 +192,7 @@ def parts(rows: DataFrame, size: int = SEGMENT) -> DataFrame:
         out, count, chars, before = [], 0, 0, None
         sizes = pc.binary_length(batch.column(3)).to_pylist()
         for i, (conv_id, length) in enumerate(zip(batch.column(0).to_pylist(), sizes, strict=True)):
-            if not out or conv_id != before or count >= size or chars >= SEGMENT_CHARS:
+            if not out or conv_id != before or count >= size or chars >= SEGMENT_BYTES:
                 out.append(i)
                 count = chars = 0
             count, chars, before = count + 1, chars + length, conv_id
