@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matnworks.functions import arabic
+from matnworks.functions import arabic, words
 from matnworks.functions.stylometry import features
 
 
@@ -46,6 +46,18 @@ def with_features(df: DataFrame) -> DataFrame:
     return df.withColumns(features(F.col("text")))
 
 
+def prepare(df: DataFrame, clean: bool = True) -> DataFrame:
+    """``with_clean_text`` (if ``clean``) and ``with_features`` by Arrow batches: the same columns and values.
+
+    For training and scoring, which read every text and whose results have no SQL form. Plans of the other queries
+    stay free of Python.
+    """
+    out = words.features(F.col("text"))
+    if clean and "clean_text" not in df.columns:
+        out = {"clean_text": words.clean_text(F.col("text")), **out}
+    return df.withColumns(out)
+
+
 def preview(df: DataFrame, key: str, rows: int, chars: int) -> DataFrame:
     """First rows by key, with long strings cut the way ``show`` cuts them."""
     cut = [

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matnworks.fixed_values import MODEL_NAMES
+from matnworks.functions import words
 from matnworks.operators import cleaning, evaluation, models, reports, split
 from matnworks.plans.corpus import CORPUS
 from matnworks.plans.shared_sql import BUCKET, CLEAN
@@ -20,7 +21,7 @@ from matnworks.sources.tables import ar_documents, arabic_script, class_labels,
 
 def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, clean_text`` and features of all documents."""
-    return cleaning.with_features(cleaning.with_clean_text(ar_documents(spark, sf_dir))).drop("text")
+    return cleaning.prepare(ar_documents(spark, sf_dir)).drop("text")
 
 
 def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     raw = cleaning.clean_corpus(labelled(documents(spark, sf_dir), class_labels(spark, sf_dir)))
     corpus = raw.withColumn("text", arabic_script(F.col("text")))
-    return cleaning.with_features(cleaning.with_clean_text(corpus)).drop("text")
+    return cleaning.prepare(corpus).drop("text")
 
 
 def _evaluated(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
@@ -252,5 +253,6 @@ def tfidf_hashed_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("word2vec")
 def word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = models.word2vec(cleaning.with_clean_text(ar_documents(spark, sf_dir)))
+    clean = words.clean_text(F.col("text")).alias("clean_text")
+    vectors = models.word2vec(ar_documents(spark, sf_dir).select("doc_id", clean))
     return vectors.select("doc_id", vector_to_array("vector").alias("vector"))

@@ -97,7 +97,7 @@ def _linear_stream(spark: SparkSession, sf_dir: str) -> str:
     folder = files.scratch(spark, "scores")
 
     def score(batch: DataFrame) -> DataFrame:
-        scored = reports.score_linear(cleaning.with_features(batch))
+        scored = reports.score_linear(cleaning.prepare(batch, clean=False))
         return scored.select("doc_id", "text", "label", "batch", "margin", "prediction")
 
     scoring.score_stream(_landed_stream(spark, sf_dir, folder), score, folder, key="batch")
@@ -183,7 +183,7 @@ def _model_stream(spark: SparkSession, sf_dir: str, model: PipelineModel) -> Dat
     folder = files.scratch(spark, "model-scores")
 
     def score(batch: DataFrame) -> DataFrame:
-        scored = model.transform(cleaning.with_features(cleaning.with_clean_text(batch)))
+        scored = model.transform(cleaning.prepare(batch))
         return scored.select("doc_id", "text", "label", "batch", F.col("prediction").cast("int"))
 
     scoring.score_stream(_landed_stream(spark, sf_dir, folder), score, folder, key="batch")
@@ -269,7 +269,7 @@ def stream_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running metrics of chunks that every delivery adds to, from counts in the state of the stream."""
     folder = files.scratch(spark, "state")
     chunk = F.expr(f"doc_id div {DELIVERIES} % {CHUNKS}").alias("batch")
-    scored = reports.score_linear(cleaning.with_features(_landed_stream(spark, sf_dir, folder)))
+    scored = reports.score_linear(cleaning.prepare(_landed_stream(spark, sf_dir, folder), clean=False))
     counts = stateful.running_counts(scored.select(chunk, "label", "prediction"), "batch")
     stateful.keep_versions(counts, folder)
     return scoring.rounded(stateful.current(spark, folder, "batch"), "batch")
