@@ -6,11 +6,12 @@ have less variance than independent hashes. Once every slot holds a value of an
 cannot change it and a document stops.
 
 Documents with one set are one class. Classes that agree in a band share a bucket, and a bucket is compared
-as a star: each member with the smallest member, on full sets. Members linked to their centre are in one
-component already. For any other linked pair of a star, the differences from the centre must overlap in so
-many shingles that a prefix of each, shingles rare in the star first, has one in common at places that
-leave room for the overlap. Pairs of such members from different components are compared in turn. So every
-link between texts that meet in a band is found, and a bucket is never expanded into all its pairs.
+as a star: each member with a centre, the one that meets most members over all its buckets, on full sets.
+Members linked to their centre are in one component already. For any other linked pair of a star, the
+differences from the centre must overlap in so many shingles that a prefix of each, shingles rare in the star
+first, has one in common at places that leave room for the overlap. Pairs of such members from different
+components are compared in turn. So every link between texts that meet in a band is found, and a bucket is
+never expanded into all its pairs.
 
 Classes are known by the digest of their set until the end, so ids decide nothing but the names of groups. Null or
 empty text: an empty set, linked with nothing, kept. Empty tables give no rows. Repeated rows are repeated in the
@@ -154,9 +155,18 @@ def stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bucket_stars(members: DataFrame) -> DataFrame:
-    """``c, x``: every member of each bucket (``bucket``, ``x``) with the smallest one."""
-    buckets = members.groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("last")).where("c < last")
-    return members.join(buckets.select("bucket", "c"), "bucket").where("x > c").select("c", "x").distinct()
+    """``c, x``: every member of each bucket (``bucket``, ``x``) with its centre.
+
+    The centre meets the most members over all its buckets, the smallest one of these: a text that few others are near
+    would leave the links of a large bucket to the search for further pairs.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("last"))
+    shared = members.join(sizes.where("least < last").select("bucket", "n"), "bucket")
+    shared = files.materialize(shared, "shared-buckets")
+    met = shared.groupBy("x").agg((-F.sum("n")).alias("met"))
+    centres = shared.join(met, "x").groupBy("bucket").agg(F.min(F.struct("met", "x")).alias("first"))
+    pairs = shared.join(centres.select("bucket", F.col("first.x").alias("c")), "bucket")
+    return pairs.where("x <> c").select("c", "x").distinct()
 
 
 def further_pairs(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
